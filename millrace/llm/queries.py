@@ -1,13 +1,16 @@
 """The queries of this subpackage, and DuckDB SQL for those that SQL can express."""
 
-from . import lines, pii, winnowing
+from . import lines, minhash, packing, pii, winnowing
 
 QUERIES = {
+    "op3_minhash": minhash.query,
     "op5_winnowing": winnowing.query,
     "op7_line_dedup": lines.query,
+    "op9_packing": packing.query,
     "op10_pii": pii.query,
 }
 
 ORACLES = {
+    "op3_minhash": minhash.SQL,
     "op7_line_dedup": lines.SQL,
 }
