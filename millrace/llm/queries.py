@@ -1,8 +1,9 @@
 """The queries of this subpackage, and DuckDB SQL for those that SQL can express."""
 
-from . import lines, minhash, packing, pii, winnowing
+from . import lines, minhash, packing, pii, suffix_tree, winnowing
 
 QUERIES = {
+    "op1_suffix_tree": suffix_tree.query,
     "op3_minhash": minhash.query,
     "op5_winnowing": winnowing.query,
     "op7_line_dedup": lines.query,
