@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 from .common import U64, components, field, grams, mixed, pieces, rows_of, table, word_hashes
 
 WORDS, PERCENT = 5, 85
-#: Permutations, rows of a band, kept bits: at a similarity of 0.85 no band agrees for one pair in 10^10.
-HASHES, ROWS, BITS = 128, 4, 2
+#: Permutations, rows of a band, bands, kept bits: at a similarity of 0.85 no band agrees for two pairs in 10^8.
+HASHES, ROWS, BANDS, BITS = 128, 4, 24, 2
 #: A pair this far (about six standard deviations) below the threshold by its kept bits is not compared in full.
 SLACK = 0.25
+#: Documents that one task compares with each other; larger buckets are compared in pairs of blocks of about so many.
+BLOCK = 2048
 
 
 def shingle_sets(text: pa.Array, words: int = WORDS) -> list[np.ndarray]:
@@ -32,7 +34,7 @@ def shingle_sets(text: pa.Array, words: int = WORDS) -> list[np.ndarray]:
     return out
 
 
-def _signed(text: str, doc_id: str, words: int, hashes: int, rows: int, bits: int):
+def _signed(text: str, doc_id: str, words: int, hashes: int, rows: int, bands_: int, bits: int):
     rng = np.random.default_rng(20)
     a = rng.integers(0, 1 << 31, hashes, np.int64).astype(np.uint32) * np.uint32(2) + np.uint32(1)
     b = rng.integers(0, 1 << 32, hashes, np.int64).astype(np.uint32)
@@ -50,8 +52,8 @@ def _signed(text: str, doc_id: str, words: int, hashes: int, rows: int, bits: in
                     h = (np.concatenate([sets[i] for i in full]) >> U64(32)).astype(np.uint32)
                     starts = np.cumsum(sizes[full]) - sizes[full]
                     least = np.stack([np.minimum.reduceat(h * a[k] + b[k], starts) for k in range(hashes)], 1)
-                    wide = least.astype(U64).reshape(len(full), hashes // rows, rows)
-                    band = np.zeros(wide.shape[:2], U64) + np.arange(hashes // rows, dtype=U64)
+                    wide = least[:, : bands_ * rows].astype(U64).reshape(len(full), bands_, rows)
+                    band = np.zeros(wide.shape[:2], U64) + np.arange(bands_, dtype=U64)
                     for r in range(rows):
                         band = mixed(band * U64(31) + wide[:, :, r])
                     planes = [np.packbits((least >> np.uint32(p)) & np.uint32(1), axis=1).view(np.int64) for p in range(bits)]
@@ -81,6 +83,46 @@ def _sets(text: str, doc_id: str, words: int):
     return f
 
 
+def _unit_links(percent: int):
+    """Links between the documents of a unit whose roots differ, as many as join them: exact intersections by matrix products."""
+
+    def f(rows: pa.Table) -> pa.Table:
+        rep, root, n = (rows.column(c).to_numpy() for c in ("rep", "root", "n"))
+        flat = rows.column("h").combine_chunks().flatten().to_numpy()
+        doc = np.repeat(np.arange(len(rep)), n)
+        _, of, count = np.unique(flat, return_inverse=True, return_counts=True)
+        column = np.cumsum(count > 1) - 1
+        both = count[of] > 1
+        of, doc = column[of[both]], doc[both]
+        order = np.argsort(of, kind="stable")
+        of, doc = of[order], doc[order]
+        common = np.zeros((len(rep), len(rep)), np.float32)
+        step = max(64, (1 << 24) // max(1, len(rep)))
+        for a in range(0, int(of[-1]) + 1 if len(of) else 0, step):
+            lo, hi = np.searchsorted(of, [a, a + step])
+            x = np.zeros((len(rep), min(step, int(of[-1]) + 1 - a)), np.float32)
+            x[doc[lo:hi], of[lo:hi] - a] = 1
+            common += x @ x.T
+        common = common.astype(np.int64)
+        linked = np.triu((common * 100 >= (n[:, None] + n[None, :] - common) * percent) & (root[:, None] != root[None, :]), 1)
+        up = {}
+
+        def find(x):
+            while up.get(x, x) != x:
+                x = up[x]
+            return x
+
+        out = []
+        for i, j in zip(*(x.tolist() for x in np.nonzero(linked))):
+            a, b = find(root[i]), find(root[j])
+            if a != b:
+                up[max(a, b)] = min(a, b)
+                out.append((rep[i], rep[j]))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([x for _, x in out], pa.int64())})
+
+    return f
+
+
 def _alike(hashes: int, bits: int) -> F.Column:
     """The similarity of signatures x and y: agreeing positions, less those that agree by chance."""
     words = hashes // 64
@@ -96,18 +138,18 @@ def _any(planes):
     return out
 
 
-def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT, hashes: int = HASHES, rows: int = ROWS, bits: int = BITS) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT, hashes: int = HASHES, rows: int = ROWS, bands: int = BANDS, bits: int = BITS, block: int = BLOCK) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of docs.
 
     Equal sets are one class, of which only the smallest doc_id is compared, so copies make no pairs. In each bucket of a band the
-    members are first compared with one pivot; once links have made components, members of different components that still share
-    a bucket are compared with each other, so no link between components is missed and none is looked for within one.
+    members are first compared with one pivot. Where links then leave several components in a bucket, all its members are compared
+    within one task, or in pairs of blocks if they are many, and only links that join components come out.
 
     Null and empty texts have empty sets and are linked with nothing. Rows that share a doc_id are one node with all their links.
     A null doc_id is a node of its own: component_id null, kept. An empty table gives no rows; other columns are not read.
     """
     source = rows_of(docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")), "doc_id", "text")
-    signed = table(source.mapInArrow(_signed("text", "doc_id", words, hashes, rows, bits), "doc_id long, n long, k1 long, k2 long, signature array<long>, bands array<long>"))
+    signed = table(source.mapInArrow(_signed("text", "doc_id", words, hashes, rows, bands, bits), "doc_id long, n long, k1 long, k2 long, signature array<long>, bands array<long>"))
     some = signed.where("n > 0 and doc_id is not null")
     # a document can be the smallest of two classes if ids repeat, so classes are nodes of their own by (k1, k2), named by their id
     classes = some.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "n", "signature", "bands")).alias("first"), F.count("*").alias("copies"))
@@ -135,12 +177,19 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
     star = table(linked(members.where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()))
     roots = components(star)
-    placed = members.join(roots.select(F.col("node").alias("rep"), "root"), F.col("node.rep") == F.col("rep"), "left").select("bucket", "node", "pivot", F.coalesce("root", "node.rep").alias("root"))
-    mixed_buckets = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("bucket")
-    open_ = placed.join(mixed_buckets, "bucket").where("node != pivot")
-    other = open_.select("bucket", F.col("node").alias("b"), F.col("root").alias("rb"))
-    cross = open_.select("bucket", F.col("node").alias("a"), F.col("root").alias("ra")).join(other, "bucket").where("a < b and ra != rb").select("a", "b").distinct()
-    links = table(star.unionByName(linked(cross)))
+    # documents of one group of overlapping buckets are compared together if they are few, else bucket by bucket
+    loose = components(members.where("node != pivot").select(F.col("pivot.rep").alias("a"), F.col("node.rep").alias("b")))
+    sizes = loose.groupBy("root").agg(F.count("*").alias("size"))
+    loose = loose.join(sizes, "root").select(F.col("node").alias("rep"), F.when(F.col("size") <= block, F.col("root")).alias("group"))
+    placed = members.select("bucket", "node.rep", "node.k1").join(loose, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+    unit = F.when(F.col("group").isNotNull(), F.struct(F.lit(0).alias("kind"), F.col("group").alias("id"))).otherwise(F.struct(F.lit(1).alias("kind"), F.col("bucket").alias("id")))
+    placed = table(placed.select(unit.alias("unit"), "rep", "k1", F.coalesce("root", "rep").alias("root")).distinct())
+    open_ = placed.groupBy("unit").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.ceil(F.count("*") / block).cast("int").alias("blocks")).where("lo != hi").select("unit", "blocks")
+    own_block = F.pmod(F.xxhash64("rep", "k1"), F.col("blocks")).cast("int")
+    spread = placed.join(open_, "unit").select("unit", "rep", "k1", "root", own_block.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    spread = spread.join(classes.select("rep", "k1", "n"), ["rep", "k1"]).join(sets, "rep").where("size(h) = n")
+    spread = spread.select("unit", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "rep", "root", "n", "h")
+    links = table(star.unionByName(spread.groupBy("unit", "lo", "hi").applyInArrow(_unit_links(percent), "a long, b long").where("a != b").distinct()))
     # copies join their class, and rows that share an id join each other
     own = some.join(classes.select("k1", "k2", "rep"), ["k1", "k2"]).select("doc_id", "rep")
     twice = own.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a != b").select("a", "b")
