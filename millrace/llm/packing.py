@@ -6,6 +6,7 @@ of cuts is found with a monotone queue, where a sequence costs its padding and a
 
 from __future__ import annotations
 
+import functools
 import os
 import zlib
 from collections import deque
@@ -24,7 +25,7 @@ LENGTH, END_ID = 2048, 1
 AT_DOC, AT_SENTENCE, ELSEWHERE, GRID = 0, 4, 16, 16
 #: Tokens of a block, which bounds memory: a block ends with the document that reaches it.
 BLOCK = 1 << 20
-#: Words whose ids a task remembers.
+#: Words whose ids a worker remembers.
 REMEMBERED = 1_000_000
 #: White space that any tokenizer drops becomes a space.
 #: A-Z are lower-cased first unless a special token, which is not, may be in the texts.
@@ -70,7 +71,7 @@ class _Ids:
         if new:
             first = len(self.known)
             self.known.update(zip(new, range(first, first + len(new))))
-            got = [x.ids for a in range(0, len(new), 4096) for x in self.tokenizer.encode_batch(new[a : a + 4096], add_special_tokens=False)]
+            got = [x.ids for a in range(0, len(new), 4096) for x in self.tokenizer.encode_batch_fast(new[a : a + 4096], add_special_tokens=False)]
             sizes = np.fromiter(map(len, got), np.int64, len(got))
             self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
             self.sizes = np.concatenate([self.sizes, sizes])
@@ -83,6 +84,12 @@ class _Ids:
         return ids, ends[at[1:] - at[0]] - ends[at[:-1] - at[0]]
 
 
+@functools.cache
+def _ids(path: str) -> _Ids:
+    """One for each worker process, so that its later tasks know the words of earlier ones."""
+    return _Ids(path)
+
+
 def cut_points(ids: np.ndarray, doc_ends: np.ndarray, stops: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
     """Positions where a block may be cut, its end last, and what a cut costs at each."""
     total = int(doc_ends[-1])
@@ -136,7 +143,7 @@ def best_cuts(at: list[int], cost: list[int], length: int = LENGTH) -> list[int]
 
 def _packed(text: str, doc_id: str, path: str, length: int, end_id: int, block: int):
     def f(batches):
-        encode = _Ids(path)
+        encode = _ids(path)
         stops = encode.sentence_ends()
         first, count = TaskContext.get().partitionId() << 40, 0
         docs, held, size = [], [], 0
