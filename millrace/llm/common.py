@@ -57,6 +57,12 @@ def field(batch: pa.RecordBatch, name: str, column: str = "row") -> pa.Array:
     return pc.struct_field(batch.column(batch.schema.get_field_index(column)), name)
 
 
+def each_row(batch: pa.RecordBatch):
+    """The rows of a batch, one at a time: binary columns as buffers without a copy, others as Python values."""
+    for i in range(batch.num_rows):
+        yield [c[i].as_buffer() if pa.types.is_binary(c.type) else c[i].as_py() for c in batch.columns]
+
+
 def pieces(batch: pa.RecordBatch, text: pa.Array, most: int = 4 << 20):
     """(start, stop) of runs of rows with at most so many bytes of text each, or one longer row."""
     sizes = pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False)

@@ -1,11 +1,12 @@
 """The queries of this subpackage, and DuckDB SQL for those that SQL can express."""
 
-from . import cover_tree, lines, minhash, packing, pii, suffix_tree, toxicity, url_filter, winnowing
+from . import cover_tree, lines, minhash, packing, pii, suffix_index, suffix_tree, toxicity, url_filter, winnowing
 
 QUERIES = {
     "op1_suffix_tree": suffix_tree.query,
     "op2_url_filter": url_filter.query,
     "op3_minhash": minhash.query,
+    "op4_suffix_index": suffix_index.query,
     "op5_winnowing": winnowing.query,
     "op6_toxicity": toxicity.query,
     "op7_line_dedup": lines.query,
