@@ -61,48 +61,60 @@ def _ratio(a, b, n1, n0):
 
 @dataclass
 class Index:
-    """terms: sorted hashes of terms, term len(terms) is any other word; idf per term; examples in blocks with, for each term and
-    block, the slice of its postings (example, weight) and its largest weight there; labels, ids, and the votes' calibration."""
+    """terms: sorted hashes of terms, term len(terms) is any other word; idf per term; labels and ids of the examples, which stand
+    in blocks; postings: for each block its terms and, for each of them, the weight of each example; most: for each term and
+    block the largest weight there; the label's share, and the votes' weight and calibration."""
 
     terms: np.ndarray
     idf: np.ndarray
     labels: np.ndarray
     ids: np.ndarray
-    slices: np.ndarray
-    example: np.ndarray
-    weight: np.ndarray
+    postings: list[tuple[np.ndarray, np.ndarray]]
     most: np.ndarray
     prior: float
     ratio: float
     line: tuple[float, float] = (0.0, 1.0)
 
-    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, leave: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of largest cosine with a unit vector, ties by their order; leave: an example that is left out.
+    def nearest(self, queries: np.ndarray, k: int, leave: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """For each unit vector (a row over all terms) the k examples of largest cosine, ties by their order: cosines, places.
 
-        Blocks come by their bound, the sum of the terms' largest weights there; none whose bound is below the k-th best is opened.
+        A query's bound for a block is the sum of its terms' largest weights there. Each query first opens the block of its
+        largest bound; after that a block is opened only for queries whose bound there reaches their k-th best. leave: for each
+        query an example that is left out. Missing neighbours have the place -1.
         """
-        bound = weight @ self.most[term]
-        order = np.argsort(-bound, kind="stable")
-        best, at = np.zeros(0), np.zeros(0, np.int64)
-        for b in order.tolist():
-            if len(best) >= k and bound[b] < best[k - 1] - 1e-9:
-                break
-            first = b * BLOCK
-            cosine = np.zeros(min(BLOCK, len(self.labels) - first))
-            for t, w in zip(term.tolist(), weight.tolist()):
-                lo, hi = self.slices[t, b], self.slices[t, b + 1]
-                cosine[self.example[lo:hi] - first] += w * self.weight[lo:hi]
-            if first <= leave < first + BLOCK:
-                cosine[leave - first] = -1
-            cosine, own = np.concatenate([best, cosine]), np.concatenate([at, np.arange(first, first + len(cosine))])
-            keep = np.lexsort((own, -np.round(cosine, 12)))[:k]
-            best, at = cosine[keep], own[keep]
-        return best, at
+        n = len(queries)
+        best, place = np.full((n, k), -2.0), np.full((n, k), -1)
+        bound = queries @ self.most
+        first = bound.argmax(1)
+
+        def opened(b: int, rows: np.ndarray) -> None:
+            terms, weights = self.postings[b]
+            cosine = np.round(queries[np.ix_(rows, terms)] @ weights, 12)
+            at = np.arange(b * BLOCK, b * BLOCK + weights.shape[1])
+            if leave is not None:
+                cosine[leave[rows][:, None] == at[None, :]] = -2.0
+            better = cosine.max(1) >= best[rows, k - 1]
+            rows, cosine = rows[better], cosine[better]
+            every, where = np.concatenate([best[rows], cosine], 1), np.concatenate([place[rows], np.broadcast_to(at, cosine.shape)], 1)
+            keep = np.lexsort((where, -every), axis=1)[:, :k]
+            best[rows], place[rows] = np.take_along_axis(every, keep, 1), np.take_along_axis(where, keep, 1)
+
+        for b in range(len(self.postings)):
+            rows = np.flatnonzero(first == b)
+            if len(rows):
+                opened(b, rows)
+        for b in range(len(self.postings)):
+            rows = np.flatnonzero((first != b) & (bound[:, b] >= best[:, k - 1] - 1e-9))
+            if len(rows):
+                opened(b, rows)
+        place[best < -1] = -1
+        return best, place
 
     def vote(self, cosine: np.ndarray, at: np.ndarray) -> float:
         """The log odds of the label: votes by closeness, each label's by its share of all labelled rows, with one vote of the prior."""
+        cosine, at = cosine[at >= 0], at[at >= 0]
         w = 1 / (0.02 + np.maximum(1 - cosine, 0))
-        w = w / max(w[0], 1e-12) if len(w) else w
+        w = w / w[0] if len(w) else w
         one = (w * (self.labels[at] == 1)).sum() * self.ratio + 0.5 * self.prior
         none = (w * (self.labels[at] == 0)).sum() + 0.5 * (1 - self.prior)
         return float(np.log(one / none))
@@ -111,11 +123,16 @@ class Index:
         return float(1 / (1 + np.exp(-np.clip(self.line[0] + self.line[1] * vote, -30, 30))))
 
 
-def _vectors(doc: np.ndarray, term: np.ndarray, times: np.ndarray, idf: np.ndarray, docs: int):
-    """Sorted sparse unit vectors of TF times IDF: starts of each document, terms, weights."""
-    w = times * idf[term]
-    w = w / np.sqrt(np.bincount(doc, w * w, docs))[doc]
-    return np.searchsorted(doc, np.arange(docs + 1)), term, w
+def _vectors(doc: np.ndarray, term: np.ndarray, times: np.ndarray, words: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Unit vectors of TF times IDF, from distinct (document, term) with times, and each document's words.
+
+    The last term is for other words: those of which neither the word nor its beginning is a term, at least one.
+    """
+    out = np.zeros((len(words), len(idf)))
+    out[doc, term] = times
+    out[:, -1] = np.maximum(words - out.sum(1), 1)
+    out *= idf
+    return out / np.sqrt((out * out).sum(1, keepdims=True))
 
 
 def build_index(bags: pa.Table, share: float) -> Index | None:
@@ -139,30 +156,23 @@ def build_index(bags: pa.Table, share: float) -> Index | None:
     number[chosen] = np.arange(len(chosen))
     term = number[of]
     doc, term, times = doc[term >= 0], term[term >= 0], times[term >= 0]
-    # other words: those of which neither the word nor its beginning is a term; a word counts once for each term it has
-    rest = np.maximum(bags.column("words").to_numpy() - np.bincount(doc, times, len(label)), 1)
-    doc, term, times = np.concatenate([doc, np.arange(len(label))]), np.concatenate([term, np.full(len(label), len(chosen))]), np.concatenate([times, rest])
-    order = np.lexsort((term, doc))
-    starts, term, weight = _vectors(doc[order], term[order], times[order], idf, len(label))
+    vectors = _vectors(doc, term, times, bags.column("words").to_numpy(), idf)
     # examples with the same leading term stand together, which keeps the blocks' largest weights low elsewhere
-    lead = np.array([(term[s:e][np.argmax(weight[s:e])], weight[s:e].max()) for s, e in zip(starts[:-1], starts[1:])])
-    place = np.empty(len(label), np.int64)
-    by = np.lexsort((bags.column("doc_id").to_numpy(), lead[:, 1], lead[:, 0]))
-    place[by] = np.arange(len(label))
-    example = place[doc[order]]
-    blocks = -(-len(label) // BLOCK)
-    posting = np.lexsort((example, term))
-    key = term[posting] * blocks + example[posting] // BLOCK
-    slices = np.searchsorted(key, np.arange((len(chosen) + 1) * blocks + 1))
-    slices = np.stack([slices[t * blocks : t * blocks + blocks + 1] for t in range(len(chosen) + 1)])
-    most = np.zeros((len(chosen) + 1) * blocks)
-    np.maximum.at(most, key, weight[posting])
-    index = Index(every[chosen], idf, label[by], bags.column("doc_id").to_numpy()[by], slices, example[posting], weight[posting], most.reshape(-1, blocks), share, share / (1 - share) * n0 / n1)
+    lead = vectors[:, :-1].argmax(1) if len(chosen) else np.zeros(len(label), np.int64)
+    by = np.lexsort((bags.column("doc_id").to_numpy(), vectors[np.arange(len(label)), lead], lead))
+    vectors, label = vectors[by], label[by]
+    postings, most = [], []
+    for first in range(0, len(label), BLOCK):
+        block = vectors[first : first + BLOCK]
+        own = np.flatnonzero(block.any(0))
+        postings.append((own, np.ascontiguousarray(block[:, own].T)))
+        most.append(block.max(0))
+    index = Index(every[chosen], idf, label, bags.column("doc_id").to_numpy()[by], postings, np.stack(most, 1), share, share / (1 - share) * n0 / n1)
     # calibration: each example's vote by the others, and a logistic line through them with the labels' shares as weights
     votes = np.empty(len(label))
-    for i in range(len(label)):
-        s, e = starts[i], starts[i + 1]
-        votes[place[i]] = index.vote(*index.nearest(term[s:e], weight[s:e], NEIGHBOURS, place[i]))
+    for first in range(0, len(label), 512):
+        own = np.arange(first, min(first + 512, len(label)))
+        votes[own] = [index.vote(*x) for x in zip(*index.nearest(vectors[own], NEIGHBOURS, own))]
     index.line = _line(votes, index.labels, np.where(index.labels == 1, index.ratio, 1.0))
     return index
 
@@ -185,6 +195,15 @@ def _scored(shared, names: list[str], text: str, share: float, evidence: int):
     def f(batches):
         index = shared.value
         alone = None
+
+        def answer(vectors):
+            out = []
+            for first in range(0, len(vectors), 512):
+                for cosine, at in zip(*index.nearest(vectors[first : first + 512], NEIGHBOURS)):
+                    reason = [{"doc_id": int(index.ids[j]), "cosine": float(c), "toxic": int(index.labels[j])} for c, j in zip(cosine[:evidence], at[:evidence]) if j >= 0]
+                    out.append((index.score(index.vote(cosine, at)), reason))
+            return out
+
         for whole in batches:
             for lo, hi in pieces(whole, field(whole, text)):
                 batch = whole.slice(lo, hi - lo)
@@ -204,22 +223,17 @@ def _scored(shared, names: list[str], text: str, share: float, evidence: int):
                 width = len(index.terms) + 1
                 key, times = np.unique(d * width + t, return_counts=True)
                 d, t = key // width, key % width
-                rest = np.maximum(counts - np.bincount(d, times, n), 1)
-                d, t, times = np.concatenate([d, np.arange(n)]), np.concatenate([t, np.full(n, width - 1)]), np.concatenate([times, rest])
-                order = np.lexsort((t, d))
-                starts, term, weight = _vectors(d[order], t[order], times[order], index.idf, n)
-                scores, why = np.empty(n), []
-                for i in range(n):
-                    s, e = starts[i], starts[i + 1]
-                    if e - s == 1 and alone is not None:
-                        scores[i], reason = alone
-                    else:
-                        cosine, at = index.nearest(term[s:e], weight[s:e], NEIGHBOURS)
-                        scores[i] = index.score(index.vote(cosine, at))
-                        reason = [{"doc_id": int(index.ids[j]), "cosine": float(c), "toxic": int(index.labels[j])} for c, j in zip(cosine[:evidence], at[:evidence])]
-                        if e - s == 1:
-                            alone = scores[i], reason
-                    why.append(reason)
+                scores, why = np.empty(n), [None] * n
+                # texts without a term have one vector
+                some, plain = np.unique(d), np.ones(n, bool)
+                plain[some] = False
+                if plain.any() and alone is None:
+                    alone = answer(np.eye(1, width, width - 1))[0]
+                for i in np.flatnonzero(plain).tolist():
+                    scores[i], why[i] = alone
+                place = np.cumsum(~plain) - 1
+                for i, (score, reason) in zip(some.tolist(), answer(_vectors(place[d], t, times, counts[some], index.idf)) if len(some) else ()):
+                    scores[i], why[i] = score, reason
                 yield pa.record_batch([carry_fields(batch, names), pa.array(scores), pa.array(why, EVIDENCE)], ["row", "score", "evidence"])
 
     return f

@@ -180,16 +180,16 @@ def test_block_max_search_equals_all_cosines(spark):
     batch = pa.record_batch([pa.StructArray.from_arrays([pa.array([i for i, _, _ in rows]), pa.array([x for *_, x in rows], pa.int32()), pa.array([t for _, t, _ in rows])], ["doc_id", "toxic", "text"])], ["row"])
     index = toxicity.build_index(pa.Table.from_batches(list(toxicity._bags([batch]))), 0.25)
     dense = np.zeros((len(rows), len(index.terms) + 1))
-    for t in range(dense.shape[1]):
-        lo, hi = index.slices[t, 0], index.slices[t, -1]
-        dense[index.example[lo:hi], t] = index.weight[lo:hi]
+    for b, (terms, weights) in enumerate(index.postings):
+        dense[b * toxicity.BLOCK : b * toxicity.BLOCK + weights.shape[1], terms] = weights.T
     assert np.allclose(np.linalg.norm(dense, axis=1), 1)
+    cosine, at = index.nearest(dense, 9)
+    without, left = index.nearest(dense, 9, np.arange(len(rows)))
     for i in range(0, len(rows), 7):
-        term = np.flatnonzero(dense[i])
-        cosine, at = index.nearest(term, dense[i][term], 9)
         every = np.round(dense @ dense[i], 12)
-        want = np.lexsort((np.arange(len(rows)), -every))[:9]
-        assert np.allclose(cosine, every[want]) and at.tolist() == want.tolist()
+        want = np.lexsort((np.arange(len(rows)), -every))
+        assert np.allclose(cosine[i], every[want[:9]]) and at[i].tolist() == want[:9].tolist()
+        assert left[i].tolist() == [j for j in want[:10].tolist() if j != i][:9]
 
 
 def test_toxicity_query_covers_every_document(spark):
