@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 
@@ -57,6 +59,13 @@ def field(batch: pa.RecordBatch, name: str, column: str = "row") -> pa.Array:
     return pc.struct_field(batch.column(batch.schema.get_field_index(column)), name)
 
 
+def trim() -> None:
+    """Gives memory that freed arrays leave in a worker back to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def each_row(batch: pa.RecordBatch):
     """The rows of a batch, one at a time: binary columns as buffers without a copy, others as Python values."""
     for i in range(batch.num_rows):

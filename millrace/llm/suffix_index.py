@@ -18,11 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, each_row, field, mixed, pieces, rows_of, table
+from .common import U64, each_row, field, mixed, pieces, rows_of, table, trim
 
 SIZE, CHOICE = 400, 128
 #: Bytes of a batch, and windows that are worked on at once.
-BATCH_BYTES, SEGMENT = 4 << 20, 1 << 17
+BATCH_BYTES, SEGMENT = 2 << 20, 1 << 17
 _LOW = U64((1 << 18) - 1)
 _BASES = (U64(0xD6E8FEB86659FD93), U64(0xA0761D6478BD642F))
 
@@ -178,6 +178,7 @@ def _batches(text: str, doc_id: str):
                 data = [b or b"" for b in field(batch, text).cast(pa.binary()).to_pylist()]
                 ends = np.cumsum([len(b) for b in data]).astype(np.int64)
                 yield pa.record_batch([pa.array([uuid.uuid4().hex]), pa.array([field(batch, doc_id).to_pylist()], pa.list_(pa.int64())), pa.array([ends], pa.list_(pa.int64())), pa.array([b"".join(data)], pa.binary())], ["batch", "ids", "ends", "data"])
+            trim()
 
     return f
 
@@ -202,6 +203,7 @@ def _first(parts: int, size: int, choice: int):
                 for kind, key, mark in ((LEADING, leading, group), (WHOLE, group, np.zeros(len(group), U64))):
                     *own, _ = _distinct(key, (mark >> U64(32)).astype(np.int64), parts)
                     yield pa.record_batch(_asked(kind, batch, *own, parts), ASKED)
+                trim()
 
     return f
 
@@ -247,6 +249,7 @@ def _second(parts: int, size: int, choice: int):
                 _, key = _expanded(found, single | stand)
                 *own, _ = _distinct(key, np.zeros(len(key), np.int64), parts)
                 out.append(pa.table(_asked(SINGLE, row["batch"], *own, parts), ASKED))
+        trim()
         return pa.concat_tables(out) if out else pa.table([pa.array([], t) for t in (pa.int32(), pa.int64(), pa.string(), *[pa.binary()] * 4)], ASKED)
 
     return f
@@ -279,6 +282,7 @@ def _removed(parts: int, size: int, choice: int):
                 sizes.append(b - a)
                 spans.append([{"start": x, "end": y} for x, y in zip(edge[::2].tolist(), edge[1::2].tolist())])
                 kept.append(data[a:b][~own].tobytes() if len(edge) else data[a:b].tobytes())
+        trim()
         return pa.table({"doc_id": pa.array(ids, pa.int64()), "n_bytes": pa.array(sizes, pa.int64()), "spans": pa.array(spans, SPANS), "kept": pa.array(kept, pa.binary())})
 
     return f
