@@ -21,7 +21,7 @@ def modulo_pairs(left: DataFrame, right: DataFrame, left_order: list, right_orde
     """
     a = with_ordinals(left.select(F.struct("*").alias("left"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(left_order)]), [f"_o{i}" for i in range(len(left_order))], "index").select("index", "left")
     b = with_ordinals(right.select(F.struct("*").alias("right"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(right_order)]), [f"_o{i}" for i in range(len(right_order))], "_at").select("_at", "right")
-    n = right.agg(F.count("*").alias("_n"))
+    n = b.agg(F.coalesce(F.max("_at"), F.lit(0)).alias("_n"))
     keyed = a.crossJoin(F.broadcast(n)).where("_n > 0").withColumn("_at", (F.col("index") - 1) % F.col("_n") + 1)
     return keyed.join(b, "_at").select("index", "left", "right")
 
@@ -87,7 +87,7 @@ def _element(name: str, attributes: dict[str, Column], *content: Column) -> Colu
 
 
 def document(rows: DataFrame) -> DataFrame:
-    """Compositions with their document as structs (`document`) and as markup (`acml`)."""
+    """Compositions with their document as structs (`document`) and as markup (`markup`)."""
     c = F.col
     action = c("reply_action_text") != ""
     prefix = F.concat(c("reply_tool_name"), F.lit('(target_entity_id: "'), c("rendered_counterparty_entity_id"), F.lit('", message: '))
@@ -107,31 +107,31 @@ def document(rows: DataFrame) -> DataFrame:
         entry("observation", c("observation_wrapper"), c("payload.request_text")), entry("belief", F.concat("belief_entity_registry_text", "belief_text"), F.lit(None).cast("string")),
         entry("me", reasoning, F.when(action, c("reply_action_text"))),
     )
-    return rows.withColumns({"document": nested, "acml": _element("acml", head, *entries)})
+    return rows.withColumns({"document": nested, "markup": _element("document", head, *entries)})
 
 
 def round_trip_issues(rows: DataFrame) -> DataFrame:
     """Documents with the array `issues` of what their markup, read back, does not give as it was composed."""
     c = F.col
-    get = lambda path: F.expr(f"xpath_string(acml, '{path}')")
-    count = lambda path: F.expr(f"xpath_int(acml, 'count({path})')")
+    get = lambda path: F.expr(f"xpath_string(markup, '{path}')")
+    count = lambda path: F.expr(f"xpath_int(markup, 'count({path})')")
     action = F.coalesce(c("reply_action_text"), F.lit("")) != ""
     checks = {
-        "version": get("/acml/@version") != "0",
-        "task": get("/acml/@task") != TASK,
-        "language": get("/acml/@language") != c("language"),
-        "sample_id": get("/acml/@sample_id") != c("sample_id"),
-        "entries": count("/acml/entry") != 3,
-        "observation_kind": get("/acml/entry[1]/@kind") != "observation",
-        "observation_relation": get("/acml/entry[1]/@relation") != c("text.relation_kind"),
-        "observation_payload": get("/acml/entry[1]/payload") != c("payload.request_text"),
-        "observation_text": get("/acml/entry[1]/text()[1]") != c("observation_wrapper"),
-        "belief_kind": get("/acml/entry[2]/@kind") != "belief",
-        "belief_text": get("/acml/entry[2]") != F.concat("belief_entity_registry_text", "belief_text"),
-        "me_kind": get("/acml/entry[3]/@kind") != "me",
-        "me_intent": get("/acml/entry[3]/@response_intent") != c("response_intent"),
-        "action_count": count("/acml/entry[3]/action") != F.when(action, 1).otherwise(0),
-        "action_payload": action & (get("/acml/entry[3]/action/payload") != c("reply_action_text")),
+        "version": get("/document/@version") != "0",
+        "task": get("/document/@task") != TASK,
+        "language": get("/document/@language") != c("language"),
+        "sample_id": get("/document/@sample_id") != c("sample_id"),
+        "entries": count("/document/entry") != 3,
+        "observation_kind": get("/document/entry[1]/@kind") != "observation",
+        "observation_relation": get("/document/entry[1]/@relation") != c("text.relation_kind"),
+        "observation_payload": get("/document/entry[1]/payload") != c("payload.request_text"),
+        "observation_text": get("/document/entry[1]/text()[1]") != c("observation_wrapper"),
+        "belief_kind": get("/document/entry[2]/@kind") != "belief",
+        "belief_text": get("/document/entry[2]") != F.concat("belief_entity_registry_text", "belief_text"),
+        "me_kind": get("/document/entry[3]/@kind") != "me",
+        "me_intent": get("/document/entry[3]/@response_intent") != c("response_intent"),
+        "action_count": count("/document/entry[3]/action") != F.when(action, 1).otherwise(0),
+        "action_payload": action & (get("/document/entry[3]/action/payload") != c("reply_action_text")),
         "answer_leak": (c("response_intent") != "help_now") & (c("reply_action_text") != ""),
         "help_without_action": c("will_help_now") & ~action,
         "rendered_id": F.length("rendered_counterparty_entity_id") != 11,

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import canonical_name, name_key, person_id, policy_record_id, stable_slot
 from ..plans.dims import GIVEN_PREFIXES, GIVEN_SUFFIXES, NEUTRAL_TAGS, RELATIONS, SIGNAL_TAGS, STRATEGIES, SURNAMES
+from ..sources.scratch import stored
 from .ordinals import with_ordinals
 from .sampling import decision_quotas, label_quotas, slots
 
@@ -151,7 +152,7 @@ def accepted(slots_: DataFrame, attempts: int = ATTEMPTS, first: int = FIRST_ATT
         fits = drawn_.where(~F.col("implausible") & (F.col("soft_issues") <= SOFT_LIMIT))
         return fits.groupBy("slot").agg(F.min_by(F.struct(*drawn_.columns), "attempt").alias("r")).select("r.*")
 
-    early = tried(slots_, 0, first)
+    early = stored(tried(slots_, 0, first))
     late = tried(slots_.join(early.select("slot"), "slot", "left_anti"), first, attempts)
     found = early.unionByName(late)
     whole = slots_.select("slot").join(found, "slot", "left")

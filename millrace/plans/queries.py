@@ -324,7 +324,7 @@ def compose_messages(spark, sf_dir):
 
 @query()
 def composed_documents(spark, sf_dir):
-    return flagship(spark, sf_dir).select("sample_id", "acml", "belief_text", F.size("issues").alias("n_issues"))
+    return flagship(spark, sf_dir).select("sample_id", "markup", "belief_text", F.size("issues").alias("n_issues"))
 
 
 @query("""SELECT doc_id, concat_ws('|', CASE WHEN length(text) > 220 THEN 'too_long' END, CASE WHEN contains(lower(text), 'from') THEN 'forbidden_term' END,

@@ -159,7 +159,7 @@ def test_documents_round_trip_and_mutations_are_found(spark):
     assert {r.reply_action_text for r in rows.where("not will_help_now").collect()} == {""}
     broken = rows.withColumn("reply_tool_name", F.lit("x"))
     assert {tuple(r.issues) for r in compose.composition_issues(broken, **IDS).collect()} == {("reply_tool_name",)}
-    lost = compose.round_trip_issues(rows.withColumn("acml", F.replace("acml", F.lit("answer"), F.lit("other"))))
+    lost = compose.round_trip_issues(rows.withColumn("markup", F.replace("markup", F.lit("answer"), F.lit("other"))))
     good, failed = compose.valid_and_failed(lost)
     assert failed.count() == 3 and good.count() == 2
 
