@@ -85,8 +85,8 @@ def line_bitmaps(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     source = source.select("doc_id", "rid", "pos", key.alias("key")).where(F.char_length("key") >= min_chars)
     source = source.select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(7), "key").alias("h2"), "doc_id", "rid", "pos")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lines = table(source)  # texts are split once; the ranges' sample and the sort read digests
     # a key in a third of all documents spreads over many partitions, as the document is part of the range
-    lines = table(source.repartitionByRange(parts, "h1", "h2", "doc_id").sortWithinPartitions("h1", "h2", "doc_id", "pos"))
     runs = lines.select("h1", "h2", "doc_id").repartitionByRange(parts, "h1", "h2", "doc_id").sortWithinPartitions("h1", "h2", "doc_id")
     runs = runs.mapInArrow(_runs, "h1 long, h2 long, docs long, most long, edge boolean").where(F.col("edge") | (F.col("docs") >= min_docs))
     common = runs.groupBy("h1", "h2").agg(F.sum("docs").alias("docs"), F.max("most").alias("most")).where(F.col("docs") >= min_docs)
