@@ -177,15 +177,19 @@ def _batches(text: str, doc_id: str):
                 batch = whole.slice(lo, hi - lo)
                 data = [b or b"" for b in field(batch, text).cast(pa.binary()).to_pylist()]
                 ends = np.cumsum([len(b) for b in data]).astype(np.int64)
-                yield pa.record_batch([pa.array([uuid.uuid4().hex]), pa.array([field(batch, doc_id).to_pylist()], pa.list_(pa.int64())), pa.array([ends], pa.list_(pa.int64())), pa.array([b"".join(data)], pa.binary())], ["batch", "ids", "ends", "data"])
+                yield pa.record_batch([pa.array([uuid.uuid4().hex]), pa.array([field(batch, doc_id).to_pylist()], pa.list_(pa.int64())), pa.array([ends], pa.list_(pa.int64())), pa.array([pa.compress(b"".join(data), codec="zstd", asbytes=True)], pa.binary())], ["batch", "ids", "ends", "data"])
             trim()
 
     return f
 
 
 def _groups(row_ends, data, size: int, choice: int):
-    ends = np.array(row_ends, np.int64)
-    return list(Windows(np.frombuffer(data, np.uint8), ends, size, choice).segments())
+    return list(Windows(_bytes(row_ends, data), np.array(row_ends, np.int64), size, choice).segments())
+
+
+def _bytes(row_ends, data) -> np.ndarray:
+    """The bytes of a batch's texts, which are stored and moved compressed."""
+    return np.frombuffer(pa.decompress(data, row_ends[-1], codec="zstd"), np.uint8) if row_ends[-1] else np.zeros(0, np.uint8)
 
 
 def _joined(parts_of, index: int):
@@ -262,7 +266,7 @@ def _removed(parts: int, size: int, choice: int):
     def f(batches: pa.Table, answers: pa.Table) -> pa.Table:
         ids, sizes, spans, kept = [], [], [], []
         for row in batches.to_pylist():
-            data, ends = np.frombuffer(row["data"], np.uint8), np.array(row["ends"], np.int64)
+            data, ends = _bytes(row["ends"], row["data"]), np.array(row["ends"], np.int64)
             found = _groups(row["ends"], row["data"], size, choice)
             change = np.zeros(len(data) + 1, np.int32)
             if found:
