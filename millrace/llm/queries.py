@@ -17,6 +17,8 @@ QUERIES = {
 
 ORACLES = {
     "op3_minhash": minhash.SQL,
+    "op4_suffix_index": suffix_index.SQL,
+    "op5_winnowing": winnowing.SQL,
     "op7_line_dedup": lines.SQL,
     "op8_cover_tree": cover_tree.SQL,
 }

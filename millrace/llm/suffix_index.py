@@ -316,3 +316,15 @@ def query(spark, sf_dir: str) -> DataFrame:
     found = remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
     return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (SELECT doc_id, i, md5(substr(x, 2 * i - 1, 800)) AS h FROM (SELECT *, unnest(range(1, length(x) // 2 - 398)) AS i FROM d)),
+r AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS p FROM w WHERE h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)),
+g AS (SELECT doc_id, i, sum((p IS NULL OR i > p + 400)::INT) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM r),
+s AS (SELECT doc_id, k, min(i) AS a, max(i) + 400 AS b FROM g GROUP BY doc_id, k),
+q AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY k), 1) AS before FROM s),
+o AS (SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, string_agg(substr(x, 2 * before - 1, 2 * (a - before)), '' ORDER BY k) || substr(any_value(x), 2 * max(b) - 1) AS kept FROM q JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, length(x) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, x))) AS kept_sha256 FROM d LEFT JOIN o USING (doc_id)
+"""

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import carried, carry_fields, field, grams, pieces, rows_of, table, word_hashes
+from .common import carried, carry_fields, field, grams, pieces, rows_of, table, trim, word_hashes
 
 #: Words of a k-gram, and of a window. A window holds WINDOW - K + 1 k-grams.
 K, WINDOW = 5, 10
@@ -129,6 +129,7 @@ def _mark(block, text: str, names: list[str], k: int, window: int):
                     bits.append(np.packbits(mask).tobytes() if n_hit[-1] else None)
                     items.append(sorted({*own.get(d, ()), *(old_items[d] or ())}))
                 yield pa.record_batch([carry_fields(batch, names), pa.array(bits, pa.binary()), pa.array(items, pa.list_(pa.string())), pa.array(counts), pa.array(n_hit, pa.int64())], ["row", "hit_bits", "items", "n_words", "n_hit"])
+            trim()
 
     return f
 
@@ -172,3 +173,16 @@ def query(spark, sf_dir: str) -> DataFrame:
         F.col("row.doc_id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+SQL = r"""
+WITH t AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, w, least(10, len(w)) AS n FROM (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark) WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM b)),
+tw AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM t, (SELECT DISTINCT n FROM bw))),
+hit AS (SELECT doc_id, i, n, item_id FROM tw JOIN bw USING (n, g)),
+h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT doc_id, i, n FROM hit)) GROUP BY doc_id),
+m AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id)
+SELECT t.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM t LEFT JOIN h USING (doc_id) LEFT JOIN m USING (doc_id)
+"""
