@@ -69,3 +69,18 @@ def per_stratum(df: DataFrame, strata: list[str], key: Column, n: Column | int,
     """Up to n rows of each stratum, the first by a deterministic shuffle. The rank limit is pushed below the shuffle by Spark."""
     rank = F.row_number().over(Window.partitionBy(*strata).orderBy(*shuffled(df, key, seed)))
     return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
+
+
+def by_quota(df: DataFrame, stratum: str, quota: dict[str, int], key: Column, seed: int = 42) -> DataFrame:
+    """Of each stratum as many rows as its quota, or all if there are fewer, the first by a deterministic shuffle; others none."""
+    most = F.create_map(*[x for k, n in quota.items() for x in (F.lit(k), F.lit(n))])[F.col(stratum)]
+    return per_stratum(df.where(F.col(stratum).isin(*quota)), [stratum], key, most, seed)
+
+
+def phase_quotas(n: int, shares: dict[str, float]) -> dict[str, int]:
+    """n rows by shares: whole parts first, then one each by largest rest, ties in the order given."""
+    whole = sum(shares.values())
+    exact = {k: n * v / whole for k, v in shares.items()}
+    quota = {k: int(x) for k, x in exact.items()}
+    rest = sorted(exact, key=lambda k: quota[k] - exact[k])[: n - sum(quota.values())]
+    return {k: q + (k in rest) for k, q in quota.items()}

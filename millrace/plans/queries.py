@@ -213,6 +213,21 @@ def balanced_sample(spark, sf_dir):
     return sampling.per_stratum(table(spark, sf_dir, "documents").select("doc_id", "source"), ["source"], F.col("doc_id"), 5)
 
 
+PHASE = {"remember": 0.4, "understand": 0.3, "apply": 0.2, "analyze": 0.1}
+
+
+@query(f"""SELECT payload_id, bloom_level FROM ({QA_SQL}) JOIN (VALUES ('remember', 16), ('understand', 12), ('apply', 8), ('analyze', 4)) q(level, n) ON level = bloom_level
+QUALIFY row_number() OVER (PARTITION BY bloom_level ORDER BY sha256('42' || chr(31) || payload_id), payload_id) <= n""")
+def curriculum_mix(spark, sf_dir):
+    rows = qa.payloads(exported(spark, sf_dir)).select("payload_id", "bloom_level")
+    return sampling.by_quota(rows, "bloom_level", sampling.phase_quotas(40, PHASE), F.col("payload_id"))
+
+
+@query("SELECT count(*) FILTER (quality = 1) AS completed_count, count(*) FILTER (quality <> 1) AS failed_count, coalesce(sum(toxic), 0)::BIGINT AS rejections FROM labels")
+def outcome_totals(spark, sf_dir):
+    return ledger.outcome_totals(table(spark, sf_dir, "labels").select((F.col("quality") == 1).alias("ok"), F.col("toxic").alias("rejections")))
+
+
 @query("SELECT doc_id, row_number() OVER (ORDER BY source, n_chars, doc_id) AS ordinal FROM documents")
 def global_ordinals(spark, sf_dir):
     return with_ordinals(table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars"), ["source", "n_chars", "doc_id"]).select("doc_id", "ordinal")

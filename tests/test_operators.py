@@ -38,6 +38,11 @@ def test_label_quotas_are_even_and_exact(n):
     assert sum(q) == n and max(q) - min(q) <= 1
 
 
+def test_phase_quotas():
+    assert sampling.phase_quotas(40, {"a": 0.4, "b": 0.3, "c": 0.2, "d": 0.1}) == {"a": 16, "b": 12, "c": 8, "d": 4}
+    assert sampling.phase_quotas(10, {"a": 1, "b": 1, "c": 1}) == {"a": 4, "b": 3, "c": 3} and sampling.phase_quotas(0, {"a": 1}) == {"a": 0}
+
+
 def test_golden_keys(spark):
     rec = F.col("r")
     row = spark.createDataFrame([("policy_rec__000001",)], "r string").select(
