@@ -12,10 +12,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, components, field, grams, mixed, pieces, rows_of, table, word_hashes
+from .common import U64, components, field, grams, mixed, pieces, rows_of, table, trim, word_hashes
 
-WORDS, PERCENT = 5, 85
-#: Permutations, rows of a band, bands, kept bits: at a similarity of 0.85 no band agrees for two pairs in 10^8.
+#: Words of a shingle, and the similarity of a link in percent.
+WORDS, PERCENT = 5, 80
+#: Permutations, rows of a band, bands, kept bits: no band agrees for two pairs in 10^8 at a similarity of 0.85, for three in 10^6 at 0.8.
 HASHES, ROWS, BANDS, BITS = 128, 4, 24, 2
 #: A pair this far (about six standard deviations) below the threshold by its kept bits is not compared in full.
 SLACK = 0.25
@@ -68,6 +69,7 @@ def _signed(text: str, doc_id: str, words: int, hashes: int, rows: int, bands_:
                     ],
                     ["doc_id", "n", "k1", "k2", "signature", "bands"],
                 )
+            trim()
 
     return f
 
@@ -79,6 +81,7 @@ def _sets(text: str, doc_id: str, words: int):
                 batch = whole.slice(lo, hi - lo)
                 sets = [s.view(np.int64) for s in shingle_sets(field(batch, text), words)]
                 yield pa.record_batch([field(batch, doc_id), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "h"])
+            trim()
 
     return f
 
@@ -201,8 +204,8 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    """op3: all documents."""
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    """op3: all documents, linked from 85 percent."""
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), percent=85)
 
 
 SQL = r"""

@@ -29,7 +29,7 @@ def reachable(nodes, links):
     return {n: find(n) for n in nodes}
 
 
-def op3(docs):
+def op3(docs, percent=85):
     sets = {}
     for i, t in docs:
         w = words(t)
@@ -39,7 +39,7 @@ def op3(docs):
         for g in s:
             at.setdefault(g, []).append(i)
     pairs = {(a, b) for ids in at.values() for a in ids for b in ids if a < b}
-    links = [(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    links = [(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
     root = reachable(sets, links)
     return {(i, len(s), root[i], root[i] == i) for i, s in sets.items()}
 

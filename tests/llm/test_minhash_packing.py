@@ -32,7 +32,7 @@ def near_copies():
 def test_near_duplicates_equal_brute_force(spark, block):
     rows = near_copies()
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "text", "'clash' as component_id", "1 as n")
-    assert {tuple(r) for r in minhash.near_duplicates(df, block=block).collect()} == brute.op3(rows)
+    assert {tuple(r) for r in minhash.near_duplicates(df, block=block).collect()} == brute.op3(rows, 80)
 
 
 def test_near_duplicates_repeated_and_null_ids_and_no_rows(spark):

@@ -27,7 +27,7 @@ def test_stages_equal_brute_force_each_on_its_own_input(spark):
             want = {i: sha for i, _, _, sha in brute.op7(before)}
             assert {i: brute.sha(t) for i, t in after.items()} == want
         if name == "near_dedup":
-            assert set(after) == {i for i, _, _, kept in brute.op3(before) if kept}
+            assert set(after) == {i for i, _, _, kept in brute.op3(before, 80) if kept}
         if name == "decontamination":
             items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
             assert set(after) == {x[0] for x in brute.op5(before, items) if not x[-1]}
