@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import carried, carry_fields, field, hash_words, pieces, rows_of, split_words
+from .common import carried, carry_fields, field, hash_words, pieces, rows_of, split_words, trim
 
 #: Labelled rows of each label in the index at most, terms at most, and the least log-likelihood ratio of a term with the label.
 SAMPLE, TERMS, LEAST = 2048, 512, 10.83
@@ -235,6 +235,7 @@ def _scored(shared, names: list[str], text: str, share: float, evidence: int):
                 for i, (score, reason) in zip(some.tolist(), answer(_vectors(place[d], t, times, counts[some], index.idf)) if len(some) else ()):
                     scores[i], why[i] = score, reason
                 yield pa.record_batch([carry_fields(batch, names), pa.array(scores), pa.array(why, EVIDENCE)], ["row", "score", "evidence"])
+            trim()
 
     return f
 
