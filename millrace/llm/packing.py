@@ -9,7 +9,7 @@ from __future__ import annotations
 import functools
 import os
 import zlib
-from collections import deque
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import field, pieces, rows_of
+from .common import field, pieces, rows_of, trim
 
 LENGTH, END_ID = 2048, 1
 #: What a cut costs, in padded tokens: at a document's end, at a sentence's end, elsewhere; and the width of the grid elsewhere.
@@ -26,12 +26,17 @@ AT_DOC, AT_SENTENCE, ELSEWHERE, GRID = 0, 4, 16, 16
 #: Tokens of a block, which bounds memory: a block ends with the document that reaches it.
 BLOCK = 1 << 20
 #: Words whose ids a worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 #: White space that any tokenizer drops becomes a space.
 #: A-Z are lower-cased first unless a special token, which is not, may be in the texts.
 _SPACES = bytes(0x20 if c in (0x09, 0x0A, 0x0D) else c for c in range(256))
 
 
+def _is_plain(word: str) -> bool:
+    """Whether a word has Latin letters alone, each of which is one letter in lower case too."""
+    return word.isalpha() and max(word) < "\u0250" and "\u0130" not in word
+
+
 class _Ids:
     """Ids of texts by a tokenizer that treats words between spaces independently; each distinct word is encoded once."""
 
@@ -40,6 +45,9 @@ class _Ids:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        self.last = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.last[i] = token.endswith("</w>")
         self.clear()
 
     def clear(self):
@@ -52,6 +60,23 @@ class _Ids:
             out[i] = token.removesuffix("</w>") in (".", "!", "?", "...", "!!", "?!")
         return out
 
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the words, and the number of each word's; words of Latin letters alone come first.
+
+        Such a word is one unit of the tokenizer, so its last id, and no other, is of a token that ends a unit: many are encoded as
+        one text. Other words are encoded one by one.
+        """
+        plain = next((i for i, w in enumerate(words) if not _is_plain(w)), len(words))
+        texts = [" ".join(words[a : min(a + 256, plain)]) for a in range(0, plain, 256)]
+        ids = [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+        sizes = np.diff(np.flatnonzero(self.last[ids]), prepend=-1)
+        if len(sizes) != plain:
+            raise RuntimeError("this tokenizer doesn't end each word with one token that ends words")
+        got = [x.ids for a in range(plain, len(words), 4096) for x in self.tokenizer.encode_batch_fast(words[a : a + 4096], add_special_tokens=False)]
+        more = np.fromiter(map(len, got), np.int64, len(got))
+        return np.concatenate([ids, np.fromiter((i for x in got for i in x), np.uint32, int(more.sum()))]), np.concatenate([sizes, more])
+
     def __call__(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the number of each text's."""
         if len(self.known) > REMEMBERED:
@@ -69,13 +94,13 @@ class _Ids:
         own = coded.dictionary.to_pylist()
         new = [w for w in own if w not in self.known]
         if new:
+            new.sort(key=lambda w: not _is_plain(w))
             first = len(self.known)
             self.known.update(zip(new, range(first, first + len(new))))
-            got = [x.ids for a in range(0, len(new), 4096) for x in self.tokenizer.encode_batch_fast(new[a : a + 4096], add_special_tokens=False)]
-            sizes = np.fromiter(map(len, got), np.int64, len(got))
+            ids, sizes = self._encoded(new)
             self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
             self.sizes = np.concatenate([self.sizes, sizes])
-            self.flat = np.concatenate([self.flat, np.fromiter((i for x in got for i in x), np.uint32, int(sizes.sum()))])
+            self.flat = np.concatenate([self.flat, ids])
         number = np.fromiter((self.known[w] for w in own), np.int64, len(own))
         of = number[coded.indices.to_numpy(zero_copy_only=False)] if len(own) else np.zeros(0, np.int64)
         sizes = self.sizes[of]
@@ -115,29 +140,34 @@ def cut_points(ids: np.ndarray, doc_ends: np.ndarray, stops: np.ndarray, length:
 def best_cuts(at: list[int], cost: list[int], length: int = LENGTH) -> list[int]:
     """The cheapest chain of cuts from 0 to the last position: each sequence costs length less its size, or nothing at a power
     of two (tried at document ends and near the block's end), each cut its own cost. Windows slide with a monotone queue."""
-    best, came = {0: 0}, {}
-    queue = deque([(0, 0)])  # (best + position, position), values increasing
+    places, best, came = [0, *at], [0], [0]
+    # the queue: places from head on, with best + position increasing
+    values, queue, head = [0], [0], 0
     powers = [1 << b for b in range(length.bit_length())]
     tail = at[-1] - 2 * length if at else 0
-    for j, c in zip(at, cost):
-        while queue and queue[0][1] < j - length:
-            queue.popleft()
-        value, source = (queue[0][0] + length - j, queue[0][1]) if queue else (1 << 60, -1)
+    for n, (j, c) in enumerate(zip(at, cost), 1):
+        low = j - length
+        while head < len(queue) and places[queue[head]] < low:
+            head += 1
+        value, source = (values[head] + length - j, queue[head]) if head < len(queue) else (1 << 60, 0)
         if c == AT_DOC or j > tail:
             for p in powers:
-                b = best.get(j - p)
-                if b is not None and b < value:
-                    value, source = b, j - p
+                k = bisect_left(places, j - p, 0, n)
+                if k < n and places[k] == j - p and best[k] < value:
+                    value, source = best[k], k
         value += c
-        best[j], came[j] = value, source
+        best.append(value)
+        came.append(source)
         key = value + j
-        while queue and queue[-1][0] >= key:
+        while len(queue) > head and values[-1] >= key:
+            values.pop()
             queue.pop()
-        queue.append((key, j))
-    out, j = [], at[-1] if at else 0
-    while j:
-        out.append(j)
-        j = came[j]
+        values.append(key)
+        queue.append(n)
+    out, n = [], len(at)
+    while n:
+        out.append(places[n])
+        n = came[n]
     return out[::-1]
 
 
@@ -180,6 +210,7 @@ def _packed(text: str, doc_id: str, path: str, length: int, end_id: int, block:
                     at, size = at + n, size + n + 1
                     if size >= block:
                         yield flush()
+            trim()
         if docs:
             yield flush()
 
