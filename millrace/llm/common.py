@@ -145,25 +145,25 @@ def grams(h: np.ndarray, n: int) -> np.ndarray:
     return mixed(out)
 
 
-def components(links: DataFrame, rounds: int = 60) -> DataFrame:
-    """(node, root) for each node of links (a, b long): root is the smallest node reachable.
+def components(links: DataFrame, *by: str, rounds: int = 60) -> DataFrame:
+    """(by, node, root) for each node of links (by, a, b long): root is the smallest node reachable; by keeps graphs apart.
 
     Alternates large-star and small-star joins over the links until they no longer change; each round is a written table and
     no node's neighbours are gathered in one place, so a star of any size is only a long run of rows.
     """
-    edges = table(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct())
-    before = None
+    edges = table(links.select(*by, F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct())
+    node, before = [*by, "a"], None
     for _ in range(rounds):
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        small_low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(small_low, "a").select("a", "b", "m")
-        edges = table(small.where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(small.select("a", F.col("m").alias("b"))).where("a != b").distinct())
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        both = edges.unionByName(edges.select(*by, F.col("b").alias("a"), F.col("a").alias("b")))
+        low = both.groupBy(*node).agg(F.min("b").alias("m")).select(*node, F.least("a", "m").alias("m"))
+        large = both.where("b > a").join(low, node).select(*by, F.col("b").alias("a"), F.col("m").alias("b"))
+        small = large.join(large.groupBy(*node).agg(F.min("b").alias("m")), node)
+        near, far = small.where("b != m").select(*by, F.col("b").alias("a"), F.col("m").alias("b")), small.select(*by, "a", F.col("m").alias("b"))
+        edges = table(near.unionByName(far).where("a != b").distinct())
+        now = edges.agg(F.count("*"), F.sum(F.xxhash64(*by, "a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break
         before = now
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
+    return edges.select(*by, F.col("a").alias("node"), F.col("b").alias("root")).unionByName(edges.select(*by, F.col("b").alias("node"), F.col("b").alias("root"))).distinct()

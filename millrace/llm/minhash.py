@@ -178,10 +178,12 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
         common = F.size(F.array_intersect("ha", "hb"))
         return full.where(common * 100 >= (F.col("na") + F.col("nb") - common) * percent).select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).where("a != b").distinct()
 
-    star = table(linked(members.where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()))
-    roots = components(star)
+    pairs = members.where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+    # two graphs at once: links, and overlaps of buckets
+    graphs = linked(pairs).select(F.lit(0).alias("graph"), "a", "b").unionByName(pairs.select(F.lit(1).alias("graph"), F.col("a.rep").alias("a"), F.col("b.rep").alias("b")))
+    graphs = table(components(graphs, "graph"))
+    roots, loose = (graphs.where(f"graph = {g}").select("node", "root") for g in (0, 1))
     # documents of one group of overlapping buckets are compared together if they are few, else bucket by bucket
-    loose = components(members.where("node != pivot").select(F.col("pivot.rep").alias("a"), F.col("node.rep").alias("b")))
     sizes = loose.groupBy("root").agg(F.count("*").alias("size"))
     loose = loose.join(sizes, "root").select(F.col("node").alias("rep"), F.when(F.col("size") <= block, F.col("root")).alias("group"))
     placed = members.select("bucket", "node.rep", "node.k1").join(loose, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
@@ -192,7 +194,8 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     spread = placed.join(open_, "unit").select("unit", "rep", "k1", "root", own_block.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     spread = spread.join(classes.select("rep", "k1", "n"), ["rep", "k1"]).join(sets, "rep").where("size(h) = n")
     spread = spread.select("unit", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "rep", "root", "n", "h")
-    links = table(star.unionByName(spread.groupBy("unit", "lo", "hi").applyInArrow(_unit_links(percent), "a long, b long").where("a != b").distinct()))
+    joining = spread.groupBy("unit", "lo", "hi").applyInArrow(_unit_links(percent), "a long, b long").where("a != b")
+    links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(joining)
     # copies join their class, and rows that share an id join each other
     own = some.join(classes.select("k1", "k2", "rep"), ["k1", "k2"]).select("doc_id", "rep")
     twice = own.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a != b").select("a", "b")
