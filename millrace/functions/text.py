@@ -46,17 +46,19 @@ def contains_any(text: Column, phrases) -> Column:
 def affirmative(text: Column, phrase: str, lang: str) -> Column:
     """Whether a phrase occurs without a negation shortly before it."""
     words, width = NEGATION[lang]
-    low, phrase = F.lower(text), phrase.lower()
-    starts = F.filter(F.sequence(F.lit(1), F.greatest(F.length(low), F.lit(1))), lambda i: F.substr(low, i, F.lit(len(phrase))) == phrase)
-    before = F.transform(starts, lambda i: F.substr(low, F.greatest(i - width, F.lit(1)), F.least(i - 1, F.lit(width))))
+    phrase = phrase.lower()
+    parts = F.split(F.lower(text), rf"\Q{phrase}\E")
 
-    def clean(window):
-        out = F.lit(True)
+    def step(s, part):
+        before = F.right(F.concat(s["tail"], part), F.lit(width))
+        clean = F.lit(True)
         for w in words:
-            out = out & ~F.contains(window, F.lit(w))
-        return out
+            clean = clean & ~F.contains(before, F.lit(w))
+        return F.struct(F.right(F.concat(before, F.lit(phrase)), F.lit(width)).alias("tail"), (s["hit"] | clean).alias("hit"))
 
-    return F.contains(low, F.lit(phrase)) & F.exists(before, clean)
+    # one pass: an occurrence follows each part but the last, and only the characters before it are kept
+    start = F.struct(F.lit("").alias("tail"), F.lit(False).alias("hit"))
+    return F.aggregate(F.slice(parts, 1, F.size(parts) - 1), start, step, lambda s: s["hit"])
 
 
 def affirmative_any(text: Column, phrases, lang: str) -> Column:

@@ -350,10 +350,10 @@ def text_rule_codes(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.concat_ws("|", *[F.when(bad, k) for k, bad in rules.items()]).alias("codes"))
 
 
-@query("""SELECT doc_id, contains(t, 'and') AND len(list_filter(range(1, length(t) + 1), lambda i: substr(t, i, 3) = 'and' AND NOT contains(substr(t, greatest(1, i - 24), least(24, i - 1)), ' not ')
-  AND NOT contains(substr(t, greatest(1, i - 24), least(24, i - 1)), 'never '))) > 0 AS affirmative FROM (SELECT doc_id, lower(left(replace(text, ' of ', ' not '), 300)) AS t FROM documents)""")
+@query("""SELECT doc_id, len(list_filter(range(1, len(parts)), lambda i: NOT contains(right(array_to_string(parts[1:i], 'and'), 24), ' not ') AND NOT contains(right(array_to_string(parts[1:i], 'and'), 24), 'never '))) > 0 AS affirmative
+FROM (SELECT doc_id, string_split(lower(replace(text, ' of ', ' not ')), 'and') AS parts FROM documents)""")
 def negation_match(spark, sf_dir):
-    own = F.substring(F.replace(F.col("text"), F.lit(" of "), F.lit(" not ")), 1, 300)
+    own = F.replace(F.col("text"), F.lit(" of "), F.lit(" not "))
     return table(spark, sf_dir, "documents").select("doc_id", text.affirmative(own, "and", "en").alias("affirmative"))
 
 
