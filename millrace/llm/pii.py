@@ -9,6 +9,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Characters of an account number by country, as registered under ISO 13616.
+IBAN_SIZES = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_KNOWN = "|".join(c for x in IBAN_SIZES.values() for c in x.split())
+#: A number of a registered country has that country's size; of any other code, what may be one, with the rest of its last word.
+_NUMBER = "|".join([
+    *[rf"(?:{x.replace(' ', '|')})[0-9]{{2}}(?:[ ]?[A-Z0-9]){{{n - 4}}}+(?![A-Za-z0-9])" for n, x in IBAN_SIZES.items()],
+    rf"(?!{_KNOWN})[A-Z]{{2}}[0-9]{{2}}(?:[ ]?[A-Z0-9]){{11,30}}+[A-Za-z0-9]*+",
+])
 KINDS = ("email", "ip", "card", "phone", "iban")
 _LOCAL = "A-Za-z0-9._%+-"
 PATTERNS = {
@@ -17,7 +28,8 @@ PATTERNS = {
     # a match of the base pattern is a maximal run, so a run of 13 to 19 digits is a match with so many digits
     "card": r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){12,18}+(?![ -]?[0-9])",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    # only the first four characters are consumed, so that a number is also tried where an earlier try reaches into it
+    "iban": rf"(?<![A-Za-z0-9])(?=({_NUMBER}))[A-Z]{{2}}[0-9]{{2}}",
 }
 #: Words that make a kind likelier within CONTEXT code points before a span.
 WORDS = {
@@ -53,24 +65,38 @@ CHECKS = {
     "ip": lambda m: m.rlike(rf"^{_OCTET}\.{_OCTET}\.{_OCTET}\.{_OCTET}$"),
     "card": lambda m: _luhn(_digits(m)),
     "phone": lambda m: F.length(_digits(m)).between(9, 15),
-    "iban": lambda m: F.length(F.replace(m, F.lit(" "), F.lit(""))).between(15, 34) & _mod97(m),
+    "iban": lambda m: m.rlike("^[A-Z0-9 ]+$") & F.length(F.replace(m, F.lit(" "), F.lit(""))).between(15, 34) & _mod97(m),
 }
 
 
+def _confirmed(kind: str, match: Column) -> Column:
+    """The span of a match that passes the kind's check, or null. A number of unregistered size is the longest run of its words that passes."""
+    passes = lambda m: F.coalesce(CHECKS[kind](m), F.lit(False))
+    if kind != "iban":
+        return F.when(passes(match), match)
+    words = F.split(match, " ")
+    runs = F.transform(F.sequence(F.size(words), F.lit(1), F.lit(-1)), lambda n: F.array_join(F.slice(words, F.lit(1), n), " "))
+    runs = F.when(match.rlike(f"^(?:{_KNOWN})"), F.array(match)).otherwise(runs)
+    return F.get(F.filter(runs, passes), F.lit(0))
+
+
 def find_spans(text: Column, kind: str) -> Column:
     """array of (kind, start, end, score): the matches of a kind in a text that pass its check, by start, in code points."""
     pattern = F.lit(PATTERNS[kind])
-    pairs = F.arrays_zip(F.regexp_extract_all(text, pattern, F.lit(0)).alias("m"), F.split(text, PATTERNS[kind], -1).alias("gap"))
+    matches = [F.regexp_extract_all(text, pattern, F.lit(int(i))).alias(n) for n, i in (("m", 0), ("whole", kind == "iban"))]
+    pairs = F.arrays_zip(*matches, F.split(text, PATTERNS[kind], -1).alias("gap"))
     empty = F.array().cast("array<struct<start:int,m:string>>")
-    placed = F.aggregate(
-        pairs,
-        F.struct(F.lit(0).alias("at"), empty.alias("out")),
-        lambda a, p: F.struct(
-            (a["at"] + F.length(p["gap"]) + F.coalesce(F.length(p["m"]), F.lit(0))).alias("at"),
-            F.when(p["m"].isNull() | ~F.coalesce(CHECKS[kind](p["m"]), F.lit(False)), a["out"]).otherwise(F.concat(a["out"], F.array(F.struct((a["at"] + F.length(p["gap"])).alias("start"), p["m"].alias("m"))))).alias("out"),
-        ),
-        lambda a: a["out"],
-    )
+
+    def step(a, p):
+        start = a["at"] + F.length(p["gap"])
+        span = F.when(p["m"].isNotNull() & (start >= a["free"]), _confirmed(kind, p["whole"]))
+        return F.struct(
+            (start + F.coalesce(F.length(p["m"]), F.lit(0))).alias("at"), F.coalesce(start + F.length(span), a["free"]).alias("free"),
+            F.when(span.isNull(), a["out"]).otherwise(F.concat(a["out"], F.array(F.struct(start.alias("start"), span.alias("m"))))).alias("out"),
+        )
+
+    # free: where the last span ends, before which no other one starts
+    placed = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), F.lit(0).alias("free"), empty.alias("out")), step, lambda a: a["out"])
     near = lambda s: F.substring(text, F.greatest(s["start"] - CONTEXT, F.lit(0)) + 1, F.least(s["start"], F.lit(CONTEXT)))
     return F.transform(placed, lambda s: F.struct(
         F.lit(kind).alias("kind"), s["start"].alias("start"), (s["start"] + F.length(s["m"])).alias("end"),

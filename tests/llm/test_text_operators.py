@@ -28,6 +28,16 @@ def test_pii_equals_brute_force(spark):
     assert {tuple(r) for r in got} == brute.op10(rows)
     assert [r[0] for r in found.where(F.size("iban") > 0).select("row.doc_id").collect()] == [12]
 
+def test_account_numbers_end_where_their_country_says(spark):
+    ends = {
+        "IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX": [(5, 32)], "DE89370400440532013000 AND": [(0, 22)], "BE71 DE89 3704 0044 0532 0130 00": [(5, 32)],
+        "GB82WEST12345698765432 DE89370400440532013000": [(0, 22), (23, 45)], "NO93 8601 1117 947 SWIFT DNBANOKK": [(0, 18)], "DE89370400440532013001 AND": [], "DE8937040044053201300 0BIC": [],
+        "ZZ18 1234 5678 9012 34 AND MORE UPPER CASE WORDS": [(0, 22)], "xDE89370400440532013000": [], "é😀 DE89370400440532013000é": [(3, 25)], "AB12 GB82 WEST 1234 5698 7654 32 OR": [(5, 32)],
+    }
+    df = spark.createDataFrame(list(enumerate(ends)), "doc_id long, text string")
+    got = {r.row.doc_id: [(s.start, s.end) for s in r.iban] for r in pii.with_spans(df).collect()}
+    assert [got[i] for i in range(len(ends))] == list(ends.values())
+
 
 def _read(spark, table, *names):
     return [tuple(r) for r in spark.read.parquet(f"{SMALL}/{table}.parquet").select(*names).collect()]
