@@ -165,7 +165,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     wanted = members.select("node.rep").distinct()
     texts = source.join(wanted.hint("shuffle_hash"), F.col("row.doc_id") == F.col("rep"), "left_semi")
     sets = texts.mapInArrow(_sets("text", "doc_id", words), "doc_id long, h array<long>").select(F.col("doc_id").alias("rep"), "h")
-    # a repeated id has several sets; the class is told by its size and its smallest bands, so by the 128-bit key again
+    # a repeated id may have several sets of one size: any of them is compared, as what one is linked with, the id is
     sets = table(sets)
 
     def linked(pairs: DataFrame) -> DataFrame:
@@ -198,7 +198,8 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(joining)
     # copies join their class, and rows that share an id join each other
     own = some.join(classes.select("k1", "k2", "rep"), ["k1", "k2"]).select("doc_id", "rep")
-    twice = own.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a != b").select("a", "b")
+    repeated = own.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a != b").select("doc_id", "a")
+    twice = own.join(repeated, "doc_id").select("a", F.col("rep").alias("b")).where("a != b").distinct()
     roots = components(links.unionByName(twice)).select(F.col("node").alias("rep"), "root")
     found = own.groupBy("doc_id").agg(F.min("rep").alias("rep")).join(roots, "rep", "left").select("doc_id", F.coalesce("root", "rep").alias("component_id"))
     out = signed.select("doc_id", F.col("n").alias("n_shingles")).join(found, "doc_id", "left")

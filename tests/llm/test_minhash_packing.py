@@ -43,6 +43,20 @@ def test_near_duplicates_repeated_and_null_ids_and_no_rows(spark):
     assert minhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_all_texts_of_a_repeated_id_are_joined(spark):
+    a, b, c = ("a b c d e f g", "h i j k l m n", "o p q r s t u")
+    rows = [(1, a), (2, b), (3, c), (9, a), (9, b), (9, c), (4, "v w x y z 0 1")]
+    got = {(r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(1, 1, True), (2, 1, False), (3, 1, False), (9, 1, False), (4, 4, True)}
+
+
+def test_texts_of_a_repeated_id_with_equal_sizes_give_no_false_links(spark):
+    one, two = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(5, one), (5, two), (6, one + " c"), (7, " ".join(f"d{i}" for i in range(60))), (8, two.replace("b30", "e"))]
+    got = {(r.doc_id, r.component_id) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(5, 5), (6, 5), (7, 7), (8, 5)}
+
+
 def test_minhash_query_equals_brute_force(spark):
     docs = [tuple(r) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()]
     assert {tuple(r) for r in minhash.query(spark, SMALL).collect()} == brute.op3(docs)
