@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import gc
 import tempfile
 import uuid
 
@@ -20,13 +21,13 @@ MIX = U64(0x9E3779B97F4A7C15)
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new path in the folder of spark.checkpoint.dir, which all executors share; a temporary folder only where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    """A new path in the folder of spark.checkpoint.dir, which all executors share; in local mode, where that is unset, a temporary one."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-"))
         base = spark.sparkContext.getCheckpointDir()
-        if not base:
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-"))
-            base = spark.sparkContext.getCheckpointDir()
     return f"{base}/llm-{uuid.uuid4().hex}"
 
 
@@ -34,7 +35,35 @@ def table(df: DataFrame) -> DataFrame:
     """df written once to the shared folder and read again: cuts lineage and survives lost executors."""
     path = scratch(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def drop(spark: SparkSession, *tables: DataFrame) -> None:
+    """Deletes tables that table() wrote and that nothing reads any more, and lets go of the shuffle files of finished jobs."""
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    for df in tables:
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+        path.getFileSystem(conf).delete(path, True)
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def packed(*arrays: np.ndarray) -> bytes:
+    """Arrays as one compressed blob; types are the reader's to know."""
+    raw = np.array([len(a) for a in arrays], np.int64).tobytes() + b"".join(a.tobytes() for a in arrays)
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpacked(blob, *types) -> list[np.ndarray]:
+    """The arrays of a blob of packed()."""
+    blob = memoryview(blob)
+    raw, out, at = pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd"), [], 8 * len(types)
+    for n, kind in zip(np.frombuffer(raw, np.int64, len(types)).tolist(), types):
+        out.append(np.frombuffer(raw, kind, n, at))
+        at += out[-1].nbytes
+    return out
 
 
 def rows_of(df: DataFrame, *columns: str, carry: bool = False) -> DataFrame:
