@@ -115,8 +115,26 @@ def pieces(batch: pa.RecordBatch, text: pa.Array, most: int = 4 << 20):
 
 
 def hash_words(words: pa.Array) -> np.ndarray:
-    """The 64-bit hash of each word."""
-    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words.cast(pa.binary()).to_pylist()), U64, len(words))
+    """The 64-bit hash of each word: eight bytes at a time for all words at once, those above 256 bytes one by one."""
+    words = pa.concat_arrays([words.cast(pa.binary())])
+    out = np.zeros(len(words), U64)
+    if not len(words):
+        return out
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    data = np.concatenate([np.frombuffer(words.buffers()[2] or b"", np.uint8), np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+    sizes = np.diff(offsets)
+    out = mixed(sizes.astype(U64) + MIX)
+    own = np.flatnonzero((sizes > 0) & (sizes <= 256))
+    for at in range(0, 256, 8):
+        own = own[sizes[own] > at]
+        if not len(own):
+            break
+        left = np.minimum(sizes[own] - at, 8).astype(U64)
+        out[own] = mixed((out[own] ^ (eight[offsets[own] + at] << (U64(64) - U64(8) * left))) * MIX)
+    for i in np.flatnonzero(sizes > 256).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(words[i].as_buffer())
+    return out
 
 
 #: Bytes that separate words of [0-9a-z] and bytes from 0x80 on become spaces, A-Z become a-z.
@@ -174,22 +192,49 @@ def grams(h: np.ndarray, n: int) -> np.ndarray:
     return mixed(out)
 
 
+def looked_up(rows: DataFrame, values: DataFrame, keys: list[str], size: str, limit: int) -> DataFrame:
+    """rows with the columns of values, which has one row for each key and, as size, how many of rows have that key.
+
+    Keys of more than limit rows are broadcast: there are at most (number of rows) / limit of them, and no task gets all rows of one.
+    """
+    hot = F.broadcast(values.where(F.col(size) > limit))
+    cold = rows.join(hot.select(*keys), keys, "left_anti").join(values.where(F.col(size) <= limit), keys)
+    return rows.join(hot, keys).unionByName(cold)
+
+
+def hot_limit(spark: SparkSession, rows: int) -> int:
+    """Rows of one key from which it is broadcast: so many that the broadcast has a few rows for each partition at most."""
+    return max(64, rows // (4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def components(links: DataFrame, *by: str, rounds: int = 60) -> DataFrame:
     """(by, node, root) for each node of links (by, a, b long): root is the smallest node reachable; by keeps graphs apart.
 
-    Alternates large-star and small-star joins over the links until they no longer change; each round is a written table and
-    no node's neighbours are gathered in one place, so a star of any size is only a long run of rows.
+    Alternates large-star and small-star joins over the links until they no longer change; each round is a written table. A node
+    with many neighbours, as the middle of a star, gets its least neighbour by a broadcast of such nodes, which are few.
     """
+    spark = links.sparkSession
     edges = table(links.select(*by, F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct())
     node, before = [*by, "a"], None
+
+    def least(rows: DataFrame, limit: int) -> DataFrame:
+        found = rows.groupBy(*node).agg(F.min("b").alias("m"), F.count("*").alias("size")).persist()
+        held.append(found)
+        return looked_up(rows, found, node, "size", limit).drop("size")
+
     for _ in range(rounds):
+        held: list[DataFrame] = []
+        limit = hot_limit(spark, 2 * (before[0] if before else edges.count()))
         both = edges.unionByName(edges.select(*by, F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy(*node).agg(F.min("b").alias("m")).select(*node, F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(low, node).select(*by, F.col("b").alias("a"), F.col("m").alias("b"))
-        small = large.join(large.groupBy(*node).agg(F.min("b").alias("m")), node)
+        large = least(both, limit).where("b > a").select(*by, F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct().persist()
+        held.append(large)
+        small = least(large, limit)
         near, far = small.where("b != m").select(*by, F.col("b").alias("a"), F.col("m").alias("b")), small.select(*by, "a", F.col("m").alias("b"))
-        edges = table(near.unionByName(far).where("a != b").distinct())
+        last, edges = edges, table(near.unionByName(far).where("a != b").distinct())
         now = edges.agg(F.count("*"), F.sum(F.xxhash64(*by, "a", "b").cast("decimal(38,0)"))).first()
+        for df in held:
+            df.unpersist()
+        drop(spark, last)
         if now == before:
             break
         before = now

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, components, field, grams, mixed, pieces, rows_of, table, trim, word_hashes
+from .common import U64, components, drop, field, grams, hot_limit, looked_up, mixed, pieces, rows_of, table, trim, word_hashes
 
 #: Words of a shingle, and the similarity of a link in percent.
 WORDS, PERCENT = 5, 80
@@ -22,6 +22,8 @@ HASHES, ROWS, BANDS, BITS = 128, 4, 24, 2
 SLACK = 0.25
 #: Documents that one task compares with each other; larger buckets are compared in pairs of blocks of about so many.
 BLOCK = 2048
+#: Members of a bucket that one task compares with a copy of the pivot's set.
+SHARE = 256
 
 
 def shingle_sets(text: pa.Array, words: int = WORDS) -> list[np.ndarray]:
@@ -126,6 +128,26 @@ def _unit_links(percent: int):
     return f
 
 
+def _pivot_links(percent: int):
+    """Links of a unit's members (role 1) with its pivot (role 0), by exact intersections of their sorted sets."""
+
+    def f(rows: pa.Table) -> pa.Table:
+        role, rep, sets = rows.column("role").to_numpy(), rows.column("rep").to_numpy(), rows.column("h").combine_chunks()
+        flat, offsets = sets.flatten().to_numpy().view(U64), sets.offsets.to_numpy() - sets.offsets[0].as_py()
+        own = [flat[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
+        out = []
+        for i in np.flatnonzero(role == 0).tolist():
+            x = own[i]
+            for j in np.flatnonzero(role == 1).tolist():
+                y = own[j]
+                common = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
+                if common * 100 >= (len(x) + len(y) - common) * percent:
+                    out.append((rep[i], rep[j]))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([x for _, x in out], pa.int64())})
+
+    return f
+
+
 def _alike(hashes: int, bits: int) -> F.Column:
     """The similarity of signatures x and y: agreeing positions, less those that agree by chance."""
     words = hashes // 64
@@ -159,7 +181,9 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     classes = table(classes.select("k1", "k2", F.col("first.doc_id").alias("rep"), "copies", "first.n", "first.signature", "first.bands"))
     buckets = classes.select("rep", "k1", F.posexplode("bands").alias("pos", "band")).select(F.xxhash64("pos", "band").alias("bucket"), "rep", "k1")
     shared = buckets.groupBy("bucket").agg(F.min(F.struct("rep", "k1")).alias("pivot"), F.count("*").alias("members")).where("members > 1")
-    members = table(buckets.join(shared.select("bucket", "pivot"), "bucket").select("bucket", F.struct("rep", "k1").alias("node"), "pivot"))
+    limit = hot_limit(docs.sparkSession, classes.count() * bands)
+    members = looked_up(buckets, shared, ["bucket"], "members", limit)
+    members = table(members.select("bucket", F.struct("rep", "k1").alias("node"), "pivot", "members"))
     node = F.struct("rep", "k1")
     signatures = classes.select(node.alias("node"), "signature", "n")
     wanted = members.select("node.rep").distinct()
@@ -168,40 +192,43 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     # a repeated id may have several sets of one size: any of them is compared, as what one is linked with, the id is
     sets = table(sets)
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(signatures.select(F.col("node").alias("a"), F.col("signature").alias("x"), F.col("n").alias("na")), "a")
-        both = both.join(signatures.select(F.col("node").alias("b"), F.col("signature").alias("y"), F.col("n").alias("nb")), "b")
-        both = both.where((_alike(hashes, bits) >= percent / 100 - SLACK) & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)).select("a", "b", "na", "nb")
-        left = sets.select(F.col("rep").alias("ra"), F.col("h").alias("ha"))
-        right = sets.select(F.col("rep").alias("rb"), F.col("h").alias("hb"))
-        full = both.join(left, F.col("a.rep") == F.col("ra")).join(right, F.col("b.rep") == F.col("rb")).where("size(ha) = na and size(hb) = nb")
-        common = F.size(F.array_intersect("ha", "hb"))
-        return full.where(common * 100 >= (F.col("na") + F.col("nb") - common) * percent).select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).where("a != b").distinct()
-
-    pairs = members.where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+    # a pivot's members are dealt out, and each share gets the pivot's signature and set once
+    shares = F.ceil(F.col("members") / SHARE).cast("int")
+    pairs = members.where("node != pivot").groupBy("pivot", "node").agg(F.max("members").alias("members"))
+    pairs = table(pairs.select(F.struct("pivot", shares.alias("of"), F.pmod(F.xxhash64("node"), shares).cast("int").alias("share")).alias("unit"), "node"))
+    heads = pairs.select("unit").distinct().join(signatures.select(F.col("node").alias("pivot"), F.col("signature").alias("x"), F.col("n").alias("na")), F.col("unit.pivot") == F.col("pivot"))
+    both = pairs.join(signatures.select("node", F.col("signature").alias("y"), F.col("n").alias("nb")), "node").join(heads, "unit")
+    both = both.where((_alike(hashes, bits) >= percent / 100 - SLACK) & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent))
+    both = table(both.select("unit", F.col("pivot.rep").alias("head"), "na", F.col("node.rep").alias("rep"), F.col("nb").alias("n")).where("head != rep"))
+    rows_ = both.select("unit", F.lit(1).alias("role"), "rep", "n").unionByName(both.select("unit", F.lit(0).alias("role"), F.col("head").alias("rep"), F.col("na").alias("n")).distinct())
+    rows_ = rows_.join(sets, "rep").where("size(h) = n").select("unit", "role", "rep", "h")
+    linked = rows_.groupBy("unit").applyInArrow(_pivot_links(percent), "a long, b long").distinct()
     # two graphs at once: links, and overlaps of buckets
-    graphs = linked(pairs).select(F.lit(0).alias("graph"), "a", "b").unionByName(pairs.select(F.lit(1).alias("graph"), F.col("a.rep").alias("a"), F.col("b.rep").alias("b")))
+    graphs = linked.select(F.lit(0).alias("graph"), "a", "b").unionByName(pairs.select(F.lit(1).alias("graph"), F.col("unit.pivot.rep").alias("a"), F.col("node.rep").alias("b")))
     graphs = table(components(graphs, "graph"))
     roots, loose = (graphs.where(f"graph = {g}").select("node", "root") for g in (0, 1))
     # documents of one group of overlapping buckets are compared together if they are few, else bucket by bucket
     sizes = loose.groupBy("root").agg(F.count("*").alias("size"))
-    loose = loose.join(sizes, "root").select(F.col("node").alias("rep"), F.when(F.col("size") <= block, F.col("root")).alias("group"))
+    loose = looked_up(loose, sizes, ["root"], "size", limit).select(F.col("node").alias("rep"), F.when(F.col("size") <= block, F.col("root")).alias("group"))
     placed = members.select("bucket", "node.rep", "node.k1").join(loose, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     unit = F.when(F.col("group").isNotNull(), F.struct(F.lit(0).alias("kind"), F.col("group").alias("id"))).otherwise(F.struct(F.lit(1).alias("kind"), F.col("bucket").alias("id")))
     placed = table(placed.select(unit.alias("unit"), "rep", "k1", F.coalesce("root", "rep").alias("root")).distinct())
-    open_ = placed.groupBy("unit").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.ceil(F.count("*") / block).cast("int").alias("blocks")).where("lo != hi").select("unit", "blocks")
+    open_ = placed.groupBy("unit").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size")).where("lo != hi").select("unit", "size", F.ceil(F.col("size") / block).cast("int").alias("blocks"))
     own_block = F.pmod(F.xxhash64("rep", "k1"), F.col("blocks")).cast("int")
-    spread = placed.join(open_, "unit").select("unit", "rep", "k1", "root", own_block.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    spread = looked_up(placed, open_, ["unit"], "size", limit).select("unit", "rep", "k1", "root", own_block.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     spread = spread.join(classes.select("rep", "k1", "n"), ["rep", "k1"]).join(sets, "rep").where("size(h) = n")
     spread = spread.select("unit", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "rep", "root", "n", "h")
     joining = spread.groupBy("unit", "lo", "hi").applyInArrow(_unit_links(percent), "a long, b long").where("a != b")
     links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(joining)
     # copies join their class, and rows that share an id join each other
-    own = some.join(classes.select("k1", "k2", "rep"), ["k1", "k2"]).select("doc_id", "rep")
+    some, copies = some.select("doc_id", "k1", "k2"), classes.select("k1", "k2", "rep", "copies")
+    limit = hot_limit(docs.sparkSession, some.count())
+    own = looked_up(some, copies, ["k1", "k2"], "copies", limit).select("doc_id", "rep").distinct()
     repeated = own.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a != b").select("doc_id", "a")
     twice = own.join(repeated, "doc_id").select("a", F.col("rep").alias("b")).where("a != b").distinct()
     roots = components(links.unionByName(twice)).select(F.col("node").alias("rep"), "root")
-    found = own.groupBy("doc_id").agg(F.min("rep").alias("rep")).join(roots, "rep", "left").select("doc_id", F.coalesce("root", "rep").alias("component_id"))
+    copies = copies.join(roots, "rep", "left").select("k1", "k2", F.coalesce("root", "rep").alias("component_id"), "copies")
+    found = looked_up(some, copies, ["k1", "k2"], "copies", limit).groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
     out = signed.select("doc_id", F.col("n").alias("n_shingles")).join(found, "doc_id", "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
