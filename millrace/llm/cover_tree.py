@@ -12,11 +12,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, table
+from .common import components, hot_limit, looked_up, table
 
 COSINE = 0.98
 #: Vectors of a block, and of a leaf, whose vectors are compared one by one.
-BLOCK, LEAF = 4096, 24
+BLOCK, LEAF = 2048, 24
 #: What rounding may change in a distance of unit vectors.
 ROUNDING = 1e-6
 
@@ -160,13 +160,20 @@ def near_vectors(vectors: DataFrame, *, vec_id: str = "vec_id", embedding: str =
     spread = classes.join(blocks, ["label", "size"]).select("label", "size", "key", "rep", "copies", "v", mine.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     spread = spread.select("label", "size", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), F.when(F.col("mine") <= F.col("other"), 0).otherwise(1).alias("side"), "key", "rep", "copies", "v")
     found = table(spread.groupBy("label", "size", "lo", "hi").applyInArrow(_compared(cosine), "label string, key binary, rep long, links long, to long"))
-    # classes of several labels can have one smallest vec_id only if ids repeat: they are one node
-    own = some.join(classes.select("label", "key", "rep", "copies"), ["label", "key"]).select("vec_id", "label", "key", "rep", "copies")
-    twice = own.select(F.col("vec_id").alias("a"), F.col("rep").alias("b"))
-    roots = components(found.select(F.col("rep").alias("a"), F.col("to").alias("b")).unionByName(twice).where("a != b"))
     links = found.groupBy("label", "key").agg(F.sum("links").alias("links"))
-    per_class = classes.select("label", "key", "copies").join(links, ["label", "key"]).select("label", "key", (F.col("links") + F.col("copies") - 1).alias("n_links"))
-    out = keyed.select("vec_id", F.when(F.col("vec_id").isNotNull(), F.col("label")).alias("label"), "key").join(per_class, ["label", "key"], "left").join(roots.withColumnRenamed("node", "vec_id"), "vec_id", "left")
+    classes = classes.select("label", "key", "rep", "copies").join(links, ["label", "key"])
+    some, limit = some.select("vec_id", "label", "key"), hot_limit(vectors.sparkSession, keyed.count())
+    # classes of several labels can have one vec_id only if ids repeat: they are one node
+    own = looked_up(some, classes.select("label", "key", "rep", "copies"), ["label", "key"], "copies", limit).select("vec_id", "rep").distinct()
+    repeated = own.groupBy("vec_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a != b").select("vec_id", "a")
+    twice = own.join(repeated, "vec_id").select("a", F.col("rep").alias("b"))
+    roots = components(found.select(F.col("rep").alias("a"), F.col("to").alias("b")).unionByName(twice).where("a != b"))
+    classes = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("label", "key", "copies", F.coalesce("root", "rep").alias("root"), (F.col("links") + F.col("copies") - 1).alias("n_links"))
+    linked = looked_up(some, classes, ["label", "key"], "copies", limit)
+    # of a repeated id each vector has its own links, but one component
+    shared = linked.groupBy("vec_id").agg(F.min("root").alias("root"))
+    alone = keyed.where("key is null or vec_id is null").select("vec_id", F.lit(0).cast("long").alias("n_links"))
+    out = linked.select("vec_id", "n_links").unionByName(alone).join(shared, "vec_id", "left")
     component = F.coalesce("root", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(True)).alias("kept"))
 
