@@ -1,8 +1,10 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index, votes weighted by distance.
 
-Examples are a bounded sample of labelled rows. Terms are words and beginnings of longer words that go with the label in the
-sample; every other word counts as one further term, so that a vector still says how much of a text its terms make up. Each
-text is scored in its task against the index, which is broadcast: its size is bounded by the two parameters SAMPLE and TERMS.
+Examples are a bounded sample of labelled rows; every word of theirs is a term. A term weighs its times in the text, its inverse
+document frequency over the whole corpus, and how surely it goes with either label in the sample: words that go with neither keep
+a small weight. The index is broadcast: it is bounded by the examples' number and bytes. Its posting lists stand in blocks of
+examples, and a block is opened only for texts whose bound there, from each term's largest weight in the block, reaches their
+k-th best cosine so far.
 """
 
 from __future__ import annotations
@@ -14,39 +16,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import carried, carry_fields, field, hash_words, pieces, rows_of, split_words, trim
+from .common import carried, carry_fields, field, hash_words, packed, pieces, rows_of, split_words, trim, unpacked
 
-#: Labelled rows of each label in the index at most, terms at most, and the least log-likelihood ratio of a term with the label.
-SAMPLE, TERMS, LEAST = 2048, 512, 10.83
-#: Characters of a beginning; the weight of all other words; neighbours that vote; examples of a block of the index.
-PREFIX, OTHER, NEIGHBOURS, BLOCK = 5, 0.05, 15, 64
+#: Labelled rows of each label in the index at most, and bytes of each label's texts at most.
+SAMPLE, SAMPLE_BYTES = 2048, 32 << 20
+#: The log-likelihood ratio from which a term counts in full, and the weight of one that goes with neither label.
+SURE, NEITHER = 10.83, 0.02
+#: Neighbours that vote; examples of a block of the index; texts that are searched for at once.
+NEIGHBOURS, BLOCK, QUERIES = 15, 256, 256
+#: Terms in so large a share of a block's examples have a dense row there.
+DENSE = 0.05
 
 
-def _features(text: pa.Array):
-    """For the words of several texts: the distinct words' hashes, their beginnings' hashes (0 where none), codes, words of each."""
+def _bags(text: pa.Array):
+    """Of several texts: the distinct words' hashes (all texts together), and by text the words' codes and times."""
     words, counts = split_words(text, alnum=True)
+    if not len(words):
+        none = np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), none, none, none
     coded = words.dictionary_encode()
-    own = coded.dictionary.to_pylist() if len(words) else []
-    full = hash_words(pa.array(own, pa.string()))
-    begin = hash_words(pa.array([f" {w[:PREFIX]}" for w in own], pa.string()))
-    begin[np.fromiter((len(w) <= PREFIX for w in own), bool, len(own))] = 0
-    return full, begin, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) if len(words) else np.zeros(0, np.int64), counts
-
-
-def _bags(batches):
-    """(doc_id, toxic, text) to (toxic, words, terms, times): the bag of words and beginnings of each example."""
-    for whole in batches:
-        for lo, hi in pieces(whole, field(whole, "text")):
-            batch = whole.slice(lo, hi - lo)
-            full, begin, codes, counts = _features(field(batch, "text"))
-            at, terms, times = 0, [], []
-            for n in counts.tolist():
-                own = codes[at : at + n]
-                at += n
-                h, c = np.unique(np.concatenate([full[own], begin[own][begin[own] != 0]]), return_counts=True)
-                terms.append(h.view(np.int64))
-                times.append(c)
-            yield pa.record_batch([field(batch, "doc_id"), field(batch, "toxic"), pa.array(counts), pa.array(terms, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int64()))], ["doc_id", "toxic", "words", "terms", "times"])
+    codes, n = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), len(coded.dictionary)
+    key, times = np.unique(np.repeat(np.arange(len(counts)), counts) * n + codes, return_counts=True)
+    return hash_words(coded.dictionary), key // n, key % n, times
 
 
 def _ratio(a, b, n1, n0):
@@ -59,57 +50,85 @@ def _ratio(a, b, n1, n0):
     return 2 * out
 
 
+@dataclass
+class Block:
+    """Posting lists of a block: its terms, where each one's postings start, their examples (counted from the block's first) and
+    weights, and each term's largest weight; dense: the places of terms with many postings, and their weights by example."""
+
+    terms: np.ndarray
+    starts: np.ndarray
+    example: np.ndarray
+    weight: np.ndarray
+    most: np.ndarray
+    dense: np.ndarray
+    rows: np.ndarray
+
+
 @dataclass
 class Index:
-    """terms: sorted hashes of terms, term len(terms) is any other word; idf per term; labels and ids of the examples, which stand
-    in blocks; postings: for each block its terms and, for each of them, the weight of each example; most: for each term and
-    block the largest weight there; the label's share, and the votes' weight and calibration."""
+    """terms: sorted hashes of the examples' words; weight of each term; labels and ids of the examples, which stand in blocks;
+    the label's share, and the votes' weight and calibration."""
 
     terms: np.ndarray
-    idf: np.ndarray
+    weight: np.ndarray
     labels: np.ndarray
     ids: np.ndarray
-    postings: list[tuple[np.ndarray, np.ndarray]]
-    most: np.ndarray
+    blocks: list[Block]
     prior: float
     ratio: float
     line: tuple[float, float] = (0.0, 1.0)
 
-    def nearest(self, queries: np.ndarray, k: int, leave: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """For each unit vector (a row over all terms) the k examples of largest cosine, ties by their order: cosines, places.
-
-        A query's bound for a block is the sum of its terms' largest weights there. Each query first opens the block of its
-        largest bound; after that a block is opened only for queries whose bound there reaches their k-th best. leave: for each
-        query an example that is left out. Missing neighbours have the place -1.
-        """
-        n = len(queries)
+    def nearest(self, doc: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, k: int, leave: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """For each of n unit vectors, given by entries in the order of doc, the k examples of largest cosine, ties by their order:
+        cosines, places. leave: for each vector an example that is left out. Missing neighbours have the place -1."""
         best, place = np.full((n, k), -2.0), np.full((n, k), -1)
-        bound = queries @ self.most
-        first = bound.argmax(1)
-
-        def opened(b: int, rows: np.ndarray) -> None:
-            terms, weights = self.postings[b]
-            cosine = np.round(queries[np.ix_(rows, terms)] @ weights, 12)
-            at = np.arange(b * BLOCK, b * BLOCK + weights.shape[1])
-            if leave is not None:
-                cosine[leave[rows][:, None] == at[None, :]] = -2.0
-            better = cosine.max(1) >= best[rows, k - 1]
-            rows, cosine = rows[better], cosine[better]
-            every, where = np.concatenate([best[rows], cosine], 1), np.concatenate([place[rows], np.broadcast_to(at, cosine.shape)], 1)
-            keep = np.lexsort((where, -every), axis=1)[:, :k]
-            best[rows], place[rows] = np.take_along_axis(every, keep, 1), np.take_along_axis(where, keep, 1)
-
-        for b in range(len(self.postings)):
-            rows = np.flatnonzero(first == b)
-            if len(rows):
-                opened(b, rows)
-        for b in range(len(self.postings)):
-            rows = np.flatnonzero((first != b) & (bound[:, b] >= best[:, k - 1] - 1e-9))
-            if len(rows):
-                opened(b, rows)
-        place[best < -1] = -1
+        found = []
+        bound = np.zeros((n, len(self.blocks)))
+        for b, block in enumerate(self.blocks):
+            at = np.minimum(np.searchsorted(block.terms, term), len(block.terms) - 1)
+            there = block.terms[at] == term
+            found.append((doc[there], at[there], weight[there]))
+            bound[:, b] = np.bincount(doc[there], weight[there] * block.most[at[there]], n)
+        order = np.argsort(-bound, 1, kind="stable")
+        for turn in range(len(self.blocks)):
+            wanted = bound[np.arange(n), order[:, turn]] >= best[:, k - 1] - 1e-9
+            for b in np.unique(order[wanted, turn]).tolist():
+                rows = np.flatnonzero(wanted & (order[:, turn] == b))
+                cosine = np.round(self._cosines(b, rows, n, *found[b]), 12)
+                at = b * BLOCK + np.arange(cosine.shape[1])
+                if leave is not None:
+                    cosine[leave[rows][:, None] == at[None, :]] = -2.0
+                every, where = np.concatenate([best[rows], cosine], 1), np.concatenate([place[rows], np.broadcast_to(at, cosine.shape)], 1)
+                keep = np.lexsort((where, -every), axis=1)[:, :k]
+                best[rows], place[rows] = np.take_along_axis(every, keep, 1), np.take_along_axis(where, keep, 1)
+        place[best <= 0] = -1  # nothing in common
         return best, place
 
+    def _cosines(self, b: int, rows: np.ndarray, n: int, doc: np.ndarray, at: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Of the chosen rows, each one's cosines with a block's examples."""
+        block, width = self.blocks[b], min(BLOCK, len(self.labels) - b * BLOCK)
+        number = np.full(n, -1)
+        number[rows] = np.arange(len(rows))
+        own = number[doc]
+        doc, at, weight = own[own >= 0], at[own >= 0], weight[own >= 0]
+        dense = block.dense[at]
+        query = np.zeros((len(rows), len(block.rows)))
+        query[doc[dense >= 0], dense[dense >= 0]] = weight[dense >= 0]
+        doc, at, weight = doc[dense < 0], at[dense < 0], weight[dense < 0]
+        size = block.starts[at + 1] - block.starts[at]
+        post = np.repeat(block.starts[at] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        rest = np.bincount(np.repeat(doc, size) * width + block.example[post], np.repeat(weight, size) * block.weight[post], len(rows) * width)
+        return query @ block.rows + rest.reshape(len(rows), width)
+
+    def vectors(self, full: np.ndarray, doc: np.ndarray, codes: np.ndarray, times: np.ndarray, n: int):
+        """Entries (doc, term, weight) of unit vectors of bags whose words have the hashes full; words that are no terms are left out."""
+        at = np.minimum(np.searchsorted(self.terms, full), len(self.terms) - 1)
+        known = self.terms[at] == full
+        keep = known[codes]
+        doc, term = doc[keep], at[codes[keep]]
+        weight = times[keep] * self.weight[term]
+        return doc, term, weight / np.sqrt(np.bincount(doc, weight * weight, n))[doc]
+
     def vote(self, cosine: np.ndarray, at: np.ndarray) -> float:
         """The log odds of the label: votes by closeness, each label's by its share of all labelled rows, with one vote of the prior."""
         cosine, at = cosine[at >= 0], at[at >= 0]
@@ -123,56 +142,61 @@ class Index:
         return float(1 / (1 + np.exp(-np.clip(self.line[0] + self.line[1] * vote, -30, 30))))
 
 
-def _vectors(doc: np.ndarray, term: np.ndarray, times: np.ndarray, words: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """Unit vectors of TF times IDF, from distinct (document, term) with times, and each document's words.
+def _block(term: np.ndarray, example: np.ndarray, weight: np.ndarray, width: int) -> Block:
+    """The block of entries in the order of (term, example)."""
+    terms, starts = np.unique(term, return_index=True)
+    starts = np.append(starts, len(term))
+    size = np.diff(starts)
+    many = np.flatnonzero(size > DENSE * width)
+    dense, rows = np.full(len(terms), -1), np.zeros((len(many), width))
+    dense[many] = np.arange(len(many))
+    own = dense[np.repeat(np.arange(len(terms)), size)]
+    rows[own[own >= 0], example[own >= 0]] = weight[own >= 0]
+    return Block(terms, starts, example.astype(np.int32), weight, np.maximum.reduceat(weight, starts[:-1]), dense, rows)
 
-    The last term is for other words: those of which neither the word nor its beginning is a term, at least one.
-    """
-    out = np.zeros((len(words), len(idf)))
-    out[doc, term] = times
-    out[:, -1] = np.maximum(words - out.sum(1), 1)
-    out *= idf
-    return out / np.sqrt((out * out).sum(1, keepdims=True))
 
+class Bags:
+    """The bags of examples: labels and ids, distinct terms, and entries (example, term, times)."""
 
-def build_index(bags: pa.Table, share: float) -> Index | None:
-    """The index of labelled bags (doc_id, toxic, words, terms, times); share: of label 1 among all labelled rows."""
-    label = bags.column("toxic").to_numpy().astype(np.int64)
+    def __init__(self, examples: pa.Table):
+        self.label, self.ids = (examples.column(c).to_numpy().astype(np.int64) for c in ("toxic", "doc_id"))
+        full, self.doc, codes, self.times = _bags(examples.column("text").combine_chunks())
+        self.terms, of = np.unique(full, return_inverse=True)
+        self.term = of[codes] if len(codes) else codes
+
+
+def build_index(bags: Bags, seen: np.ndarray, total: int, share: float) -> Index | None:
+    """The index of bags; seen: in how many of total documents each term is; share: of label 1 among all labelled rows."""
+    label, n = bags.label, len(bags.label)
     n1, n0 = int(label.sum()), int((1 - label).sum())
-    if not n1 or not n0:
+    if not n1 or not n0 or not len(bags.terms):
         return None
-    flat = bags.column("terms").combine_chunks().flatten().to_numpy().view(np.uint64)
-    times = bags.column("times").combine_chunks().flatten().to_numpy()
-    size = np.diff(np.concatenate([[0], np.cumsum([len(x) for x in bags.column("terms")])]))
-    doc = np.repeat(np.arange(len(label)), size)
-    every, of = np.unique(flat, return_inverse=True)
-    a = np.bincount(of[label[doc] == 1], minlength=len(every))
-    b = np.bincount(of[label[doc] == 0], minlength=len(every))
-    ratio = np.where(a + b >= 2, _ratio(a, b, n1, n0), 0)
-    chosen = np.argsort(-ratio, kind="stable")[:TERMS]
-    chosen = np.sort(chosen[ratio[chosen] >= LEAST])
-    idf = np.append(np.log((1 + len(label)) / (1 + (a + b)[chosen])) + 0.05, OTHER)
-    number = np.full(len(every), -1)
-    number[chosen] = np.arange(len(chosen))
-    term = number[of]
-    doc, term, times = doc[term >= 0], term[term >= 0], times[term >= 0]
-    vectors = _vectors(doc, term, times, bags.column("words").to_numpy(), idf)
-    # examples with the same leading term stand together, which keeps the blocks' largest weights low elsewhere
-    lead = vectors[:, :-1].argmax(1) if len(chosen) else np.zeros(len(label), np.int64)
-    by = np.lexsort((bags.column("doc_id").to_numpy(), vectors[np.arange(len(label)), lead], lead))
-    vectors, label = vectors[by], label[by]
-    postings, most = [], []
-    for first in range(0, len(label), BLOCK):
-        block = vectors[first : first + BLOCK]
-        own = np.flatnonzero(block.any(0))
-        postings.append((own, np.ascontiguousarray(block[:, own].T)))
-        most.append(block.max(0))
-    index = Index(every[chosen], idf, label, bags.column("doc_id").to_numpy()[by], postings, np.stack(most, 1), share, share / (1 - share) * n0 / n1)
+    one = label[bags.doc] == 1
+    a, b = (np.bincount(bags.term[x], minlength=len(bags.terms)) for x in (one, ~one))
+    sure = np.where(a + b >= 2, np.minimum(_ratio(a, b, n1, n0) / SURE, 1), 0)
+    weight = (np.log((1 + total) / (1 + seen)) + 0.05) * (NEITHER + sure)
+    own = bags.times * weight[bags.term]
+    own = own / np.sqrt(np.bincount(bags.doc, own * own, n))[bags.doc]
+    # examples with the same leading term stand together, which keeps other blocks' largest weights low
+    first = np.lexsort((-own, bags.doc))
+    lead = np.full(n, -1)
+    lead[bags.doc[first][::-1]] = bags.term[first][::-1]
+    by = np.lexsort((bags.ids, lead))
+    rank = np.empty(n, np.int64)
+    rank[by] = np.arange(n)
+    doc = rank[bags.doc]
+    order = np.lexsort((doc, bags.term, doc // BLOCK))
+    doc, term, own = doc[order], bags.term[order], own[order]
+    cuts = np.searchsorted(doc // BLOCK, np.arange(-(-n // BLOCK) + 1))
+    blocks = [_block(term[x:y], doc[x:y] - i * BLOCK, own[x:y], min(BLOCK, n - i * BLOCK)) for i, (x, y) in enumerate(zip(cuts[:-1], cuts[1:]))]
+    index = Index(bags.terms, weight, label[by], bags.ids[by], blocks, share, share / (1 - share) * n0 / n1 if share < 1 else 1.0)
     # calibration: each example's vote by the others, and a logistic line through them with the labels' shares as weights
-    votes = np.empty(len(label))
-    for first in range(0, len(label), 512):
-        own = np.arange(first, min(first + 512, len(label)))
-        votes[own] = [index.vote(*x) for x in zip(*index.nearest(vectors[own], NEIGHBOURS, own))]
+    votes, order = np.empty(n), np.argsort(doc, kind="stable")
+    doc, term, own = doc[order], term[order], own[order]
+    for lo in range(0, n, QUERIES):
+        hi = min(lo + QUERIES, n)
+        x, y = np.searchsorted(doc, [lo, hi])
+        votes[lo:hi] = [index.vote(*v) for v in zip(*index.nearest(doc[x:y] - lo, term[x:y], own[x:y], hi - lo, NEIGHBOURS, np.arange(lo, hi)))]
     index.line = _line(votes, index.labels, np.where(index.labels == 1, index.ratio, 1.0))
     return index
 
@@ -191,19 +215,34 @@ def _line(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float]:
     return float(beta[0]), float(max(beta[1], 0.05))
 
 
-def _scored(shared, names: list[str], text: str, share: float, evidence: int):
+def _frequencies(shared, text: str):
+    """One blob for each task: in how many of its texts each term is, and the number of texts."""
+
     def f(batches):
-        index = shared.value
-        alone = None
+        terms = shared.value
+        seen, total = np.zeros(len(terms), np.int64), 0
+        for whole in batches:
+            for lo, hi in pieces(whole, field(whole, text)):
+                full, _, codes, _ = _bags(field(whole.slice(lo, hi - lo), text))
+                at = np.minimum(np.searchsorted(terms, full), len(terms) - 1)
+                known = terms[at] == full
+                times = np.bincount(codes, minlength=len(full))
+                seen[at[known]] += times[known]
+                total += hi - lo
+            trim()
+        yield pa.record_batch([pa.array([packed(seen, np.array([total]))], pa.binary())], ["seen"])
+
+    return f
+
+
+def _summed(rows: pa.Table) -> pa.Table:
+    seen, total = (sum(x) for x in zip(*(unpacked(b, np.int64, np.int64) for b in rows.column("seen").to_pylist())))
+    return pa.table({"seen": pa.array([packed(seen, total)], pa.binary())})
 
-        def answer(vectors):
-            out = []
-            for first in range(0, len(vectors), 512):
-                for cosine, at in zip(*index.nearest(vectors[first : first + 512], NEIGHBOURS)):
-                    reason = [{"doc_id": int(index.ids[j]), "cosine": float(c), "toxic": int(index.labels[j])} for c, j in zip(cosine[:evidence], at[:evidence]) if j >= 0]
-                    out.append((index.score(index.vote(cosine, at)), reason))
-            return out
 
+def _scored(shared, names: list[str], text: str, share: float, evidence: int):
+    def f(batches):
+        index = shared.value
         for whole in batches:
             for lo, hi in pieces(whole, field(whole, text)):
                 batch = whole.slice(lo, hi - lo)
@@ -211,29 +250,14 @@ def _scored(shared, names: list[str], text: str, share: float, evidence: int):
                 if index is None:
                     yield pa.record_batch([carry_fields(batch, names), pa.array([share] * n), pa.array([[]] * n, EVIDENCE)], ["row", "score", "evidence"])
                     continue
-                full, begin, codes, counts = _features(field(batch, text))
-                doc = np.repeat(np.arange(n), counts)
-                found = []
-                for h in (full, begin):
-                    at = np.minimum(np.searchsorted(index.terms, h), max(len(index.terms) - 1, 0))
-                    number = np.where(index.terms[at] == h, at, -1) if len(index.terms) else np.full(len(h), -1)
-                    own = number[codes]
-                    found.append((doc[own >= 0], own[own >= 0]))
-                d, t = (np.concatenate(x) for x in zip(*found))
-                width = len(index.terms) + 1
-                key, times = np.unique(d * width + t, return_counts=True)
-                d, t = key // width, key % width
-                scores, why = np.empty(n), [None] * n
-                # texts without a term have one vector
-                some, plain = np.unique(d), np.ones(n, bool)
-                plain[some] = False
-                if plain.any() and alone is None:
-                    alone = answer(np.eye(1, width, width - 1))[0]
-                for i in np.flatnonzero(plain).tolist():
-                    scores[i], why[i] = alone
-                place = np.cumsum(~plain) - 1
-                for i, (score, reason) in zip(some.tolist(), answer(_vectors(place[d], t, times, counts[some], index.idf)) if len(some) else ()):
-                    scores[i], why[i] = score, reason
+                doc, term, weight = index.vectors(*_bags(field(batch, text)), n)
+                scores, why = np.empty(n), []
+                for a in range(0, n, QUERIES):
+                    b = min(a + QUERIES, n)
+                    x, y = np.searchsorted(doc, [a, b])
+                    for i, (cosine, at) in enumerate(zip(*index.nearest(doc[x:y] - a, term[x:y], weight[x:y], b - a, NEIGHBOURS)), a):
+                        scores[i] = index.score(index.vote(cosine, at))
+                        why.append([{"doc_id": int(index.ids[j]), "cosine": float(c), "toxic": int(index.labels[j])} for c, j in zip(cosine[:evidence], at[:evidence]) if j >= 0])
                 yield pa.record_batch([carry_fields(batch, names), pa.array(scores), pa.array(why, EVIDENCE)], ["row", "score", "evidence"])
             trim()
 
@@ -243,28 +267,41 @@ def _scored(shared, names: list[str], text: str, share: float, evidence: int):
 EVIDENCE = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, corpus: DataFrame | None = None, *, learn_from: str = "true", doc_id: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ("doc_id",), sample: int = SAMPLE, evidence: int = 3) -> DataFrame:
+def toxicity_scores(docs: DataFrame, labels: DataFrame, corpus: DataFrame | None = None, *, learn_from: str = "true", doc_id: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ("doc_id",), sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES, evidence: int = 3) -> DataFrame:
     """row (a struct of the carried columns), score (0 to 1) and evidence (the nearest examples) for each row of docs.
 
-    labels: (doc_id, toxic); corpus: the table that has their texts, docs if it is not given. learn_from is a condition on doc_id.
-    Of each label the sample rows of smallest hash of doc_id are the examples. Rows of labels without id, label or text are not
-    used; of a repeated id each row counts. If examples of a label are missing, every score is the share of label 1 (0 if there are none).
+    labels: (doc_id, toxic); corpus: the table that has their texts and whose document frequencies count, docs if it is not given.
+    learn_from is a condition on doc_id. Of each label the rows of smallest hash of doc_id are the examples: sample rows, or fewer
+    that have sample_bytes of text together. Rows of labels without id, label or text are not used; of an id that is repeated in
+    labels or corpus one row counts. If examples of a label are missing, every score is the share of label 1 (0 if there are none).
 
-    Null and empty texts have a vector too, of the term for other words alone, so they get a score. An empty table gives no rows.
+    A null or empty text, or one without any word of the examples, has no neighbours: the prior alone votes. Very long texts are
+    scored like others; repeated rows are scored one by one; an empty table gives no rows; columns of any name are carried in row.
     """
     spark = docs.sparkSession
     corpus = docs if corpus is None else corpus
     source = corpus.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     labelled = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic in (0, 1)").where(learn_from)
-    known = labelled.join(source.where("text is not null").select("doc_id"), "doc_id")
+    labelled = labelled.groupBy("doc_id").agg(F.min("toxic").alias("toxic"))
+    known = labelled.join(source.where("text is not null").groupBy("doc_id").agg(F.max(F.octet_length("text")).alias("size")), "doc_id")
     counted = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
     share = counted.get(1, 0) / max(1, sum(counted.values()))
-    order = [F.xxhash64(F.lit(11), "doc_id"), F.col("doc_id")]
-    chosen = known.where("toxic = 1").orderBy(*order).limit(sample).unionByName(known.where("toxic = 0").orderBy(*order).limit(sample))
-    chosen = spark.createDataFrame(chosen.collect(), "doc_id long, toxic int").distinct()
-    examples = rows_of(source.where("text is not null").join(F.broadcast(chosen), "doc_id"), "doc_id", "toxic", "text")
-    bags = examples.mapInArrow(_bags, "doc_id long, toxic int, words long, terms array<long>, times array<long>").toArrow()
-    index = build_index(bags, share) if bags.num_rows else None
+    chosen = []
+    for label in (0, 1):
+        left = sample_bytes
+        for r in known.where(F.col("toxic") == label).orderBy(F.xxhash64(F.lit(11), "doc_id"), "doc_id").limit(sample).collect():
+            left -= r.size
+            if left < 0:
+                break
+            chosen.append((r.doc_id, r.toxic, r.size))
+    examples = source.where("text is not null").join(F.broadcast(spark.createDataFrame(chosen, "doc_id long, toxic int, size int")), "doc_id").where(F.octet_length("text") == F.col("size"))
+    bags = Bags(examples.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.min("text").alias("text")).orderBy("doc_id").toArrow())
+    index = None
+    if len(bags.terms) and len(set(bags.label.tolist())) == 2:
+        counts = rows_of(source, "text").mapInArrow(_frequencies(spark.sparkContext.broadcast(bags.terms), "text"), "seen binary")
+        counts = counts.select(F.pmod(F.spark_partition_id(), F.lit(8)).alias("share"), "seen").groupBy("share").applyInArrow(_summed, "seen binary").toArrow()
+        seen, total = (sum(x) for x in zip(*(unpacked(b, np.int64, np.int64) for b in counts.column("seen").to_pylist())))
+        index = build_index(bags, seen, int(total[0]), share)
     rows = rows_of(docs, *carry, text)
     names = list(carry)
     return rows.mapInArrow(_scored(spark.sparkContext.broadcast(index), names, text, share, evidence), carried(rows, names, "score double, evidence array<struct<doc_id: long, cosine: double, toxic: int>>"))

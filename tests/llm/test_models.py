@@ -1,6 +1,8 @@
 import math
 import random
 import re
+import zlib
+from collections import Counter
 
 import brute
 import numpy as np
@@ -168,30 +170,79 @@ def test_nearest_is_exact_and_scores_separate(spark):
     held = [(got[i].score, x) for i, _, x in rows if i >= 400]
     assert sum((s >= 0.5) == (x == 1) for s, x in held) >= 0.95 * len(held)
     assert {got[i].score < 0.5 for i in (900, 901, 902)} == {True} and len(got) == 503
-    assert all(0 <= r.score <= 1 and r.evidence for r in got.values())
+    assert all(0 <= r.score <= 1 and bool(r.evidence) == (i not in (900, 901)) for i, r in got.items())
     assert toxicity.toxicity_scores(docs.limit(0), labels).count() == 0
     assert {r.score for r in toxicity.toxicity_scores(docs, labels.where("toxic = 0")).collect()} == {0.0}
 
 
-def test_block_max_search_equals_all_cosines(spark):
+def plain_toxicity(docs, labels, share, k=15):
+    """{id: score}, {id: nearest} by dictionaries, for docs {id: text} and the examples' labels {id: 0 or 1}."""
+    bag = {i: Counter(re.findall("[0-9a-z\x80-\U0010ffff]+", (t or "").translate({c: c + 32 for c in range(65, 91)}))) for i, t in docs.items()}
+    n = Counter(labels.values())
+    seen = Counter(w for b in bag.values() for w in b)
+    one, none = (Counter(w for i, x in labels.items() if x == want for w in bag[i]) for want in (1, 0))
+
+    def ratio(a, b):
+        cells = [(a, a + b, n[1]), (b, a + b, n[0]), (n[1] - a, n[1] + n[0] - a - b, n[1]), (n[0] - b, n[1] + n[0] - a - b, n[0])]
+        return 2 * sum(x * math.log(x * (n[1] + n[0]) / (row * column)) for x, row, column in cells if x)
+
+    weight = {w: (math.log((1 + len(docs)) / (1 + seen[w])) + 0.05) * (0.02 + (min(1, ratio(one[w], none[w]) / 10.83) if one[w] + none[w] >= 2 else 0)) for w in one | none}
+    vector = {}
+    for i, b in bag.items():
+        own = {w: x * weight[w] for w, x in b.items() if w in weight}
+        size = math.sqrt(sum(x * x for x in own.values()))
+        vector[i] = {w: x / size for w, x in own.items()}
+    factor = share / (1 - share) * n[0] / n[1]
+
+    def vote(i, leave):
+        cosine = [(round(sum(x * vector[j].get(w, 0) for w, x in vector[i].items()), 12), j) for j in labels if j != leave]
+        best = sorted((c for c in cosine if c[0] > 0), key=lambda c: -c[0])[:k]
+        w = [(1 / (0.02 + max(1 - c, 0)), labels[j]) for c, j in best]
+        yes, no = (sum(x / w[0][0] for x, y in w if y == want) for want in (1, 0))
+        return math.log((yes * factor + 0.5 * share) / (no + 0.5 * (1 - share)))
+
+    ids = list(labels)
+    y = np.array([labels[i] for i in ids])
+    line = toxicity._line(np.array([vote(i, i) for i in ids]), y, np.where(y == 1, factor, 1.0))
+    return {i: 1 / (1 + math.exp(-(line[0] + line[1] * vote(i, None)))) for i in docs}
+
+
+def test_block_max_search_equals_all_cosines(monkeypatch):
     import pyarrow as pa
 
+    monkeypatch.setattr(toxicity, "BLOCK", 32)
     rows = labelled(700)
-    batch = pa.record_batch([pa.StructArray.from_arrays([pa.array([i for i, _, _ in rows]), pa.array([x for *_, x in rows], pa.int32()), pa.array([t for _, t, _ in rows])], ["doc_id", "toxic", "text"])], ["row"])
-    index = toxicity.build_index(pa.Table.from_batches(list(toxicity._bags([batch]))), 0.25)
-    dense = np.zeros((len(rows), len(index.terms) + 1))
-    for b, (terms, weights) in enumerate(index.postings):
-        dense[b * toxicity.BLOCK : b * toxicity.BLOCK + weights.shape[1], terms] = weights.T
-    assert np.allclose(np.linalg.norm(dense, axis=1), 1)
-    cosine, at = index.nearest(dense, 9)
-    without, left = index.nearest(dense, 9, np.arange(len(rows)))
+    bags = toxicity.Bags(pa.table({"doc_id": [i for i, _, _ in rows], "toxic": [x for *_, x in rows], "text": [t for _, t, _ in rows]}))
+    index = toxicity.build_index(bags, np.bincount(bags.term, minlength=len(bags.terms)), len(rows), 0.25)
+    assert len(index.blocks) == 22 and any(len(b.rows) for b in index.blocks) and all((b.dense < 0).any() for b in index.blocks)
+    place = {i: k for k, i in enumerate(index.ids.tolist())}
+    full, doc, codes, times = toxicity._bags(pa.array([rows[i][1] for i in index.ids.tolist()]))
+    entries = index.vectors(full, doc, codes, times, len(rows))
+    dense = np.zeros((len(rows), len(index.terms)))
+    dense[entries[0], entries[1]] = entries[2]
+    assert len(place) == len(rows) and np.allclose(np.linalg.norm(dense, axis=1), 1)
+    cosine, at = index.nearest(*entries, len(rows), 9)
+    without, left = index.nearest(*entries, len(rows), 9, np.arange(len(rows)))
     for i in range(0, len(rows), 7):
         every = np.round(dense @ dense[i], 12)
         want = np.lexsort((np.arange(len(rows)), -every))
-        assert np.allclose(cosine[i], every[want[:9]]) and at[i].tolist() == want[:9].tolist()
-        assert left[i].tolist() == [j for j in want[:10].tolist() if j != i][:9]
-
-
-def test_toxicity_query_covers_every_document(spark):
-    got = toxicity.query(spark, SMALL).collect()
-    assert len(got) == 200 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got)
+        assert np.allclose(cosine[i], every[want[:9]]) and np.allclose(every[at[i]], every[want[:9]])
+        assert i not in left[i].tolist() and np.allclose(every[left[i]], np.delete(every[want], want.tolist().index(i))[:9])
+
+
+def test_toxicity_query_equals_dictionaries(spark):
+    got = {r.doc_id: r for r in toxicity.query(spark, SMALL).collect()}
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect() if zlib.crc32(str(r.doc_id).encode()) % 5 and r.toxic in (0, 1) and docs.get(r.doc_id) is not None}
+    assert len(got) == len(docs) == 200 and set(labels.values()) == {0, 1}
+    want = plain_toxicity(docs, labels, sum(labels.values()) / len(labels))
+    assert all(abs(got[i].score - want[i]) < 1e-6 and got[i].predicted == (got[i].score >= 0.5) for i in docs)
+    assert all(got[i].held_out == (zlib.crc32(str(i).encode()) % 5 == 0) for i in docs)
+
+
+def test_one_row_of_a_repeated_id_is_an_example(spark):
+    rows = labelled(200)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(0, rows[0][1])] * 5, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, x) for i, _, x in rows] + [(1, rows[1][2])] * 5, "doc_id long, toxic int")
+    got = toxicity.toxicity_scores(docs, labels, evidence=15).collect()
+    assert len(got) == 205 and all(len({e.doc_id for e in r.evidence}) == len(r.evidence) for r in got)
