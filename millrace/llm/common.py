@@ -31,20 +31,20 @@ def scratch(spark: SparkSession) -> str:
     return f"{base}/llm-{uuid.uuid4().hex}"
 
 
-def table(df: DataFrame) -> DataFrame:
-    """df written once to the shared folder and read again: cuts lineage and survives lost executors."""
+def table(df: DataFrame, by: str | None = None) -> DataFrame:
+    """df written once to the shared folder (a folder for each value of by) and read again: cuts lineage and survives lost executors."""
     path = scratch(df.sparkSession)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     return out
 
 
-def drop(spark: SparkSession, *tables: DataFrame) -> None:
-    """Deletes tables that table() wrote and that nothing reads any more, and lets go of the shuffle files of finished jobs."""
+def drop(spark: SparkSession, *tables: DataFrame, part: str = "") -> None:
+    """Deletes tables that table() wrote (or a part of them) and that nothing reads any more, and lets go of finished jobs' shuffle files."""
     conf = spark._jsparkSession.sessionState().newHadoopConf()
     for df in tables:
-        path = spark._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.scratch_path + part)
         path.getFileSystem(conf).delete(path, True)
     gc.collect()
     spark._jvm.System.gc()
