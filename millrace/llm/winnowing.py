@@ -15,7 +15,7 @@ from .common import carried, carry_fields, field, grams, pieces, rows_of, table,
 
 #: Words of a k-gram, and of a window. A window holds WINDOW - K + 1 k-grams.
 K, WINDOW = 5, 10
-#: Windows of the benchmark that are broadcast at once: 24 bytes each.
+#: Windows of the benchmark that are broadcast at once: 40 bytes each, and the ids of their items.
 BLOCK_WINDOWS = 1_000_000
 
 
@@ -39,11 +39,9 @@ def _benchmark_windows(k: int, window: int):
                 if not n or item is None:
                     continue
                 size = min(n, window)
-                full = np.unique(grams(own, size))
-                out.append(pa.record_batch([pa.array([item] * len(full), pa.string()), pa.array([size] * len(full), pa.int32()), pa.array(full.view(np.int64))], ["item", "size", "window"]))
-                if size == window:
-                    marks = np.unique(_least(grams(own, k), window - k + 1))
-                    out.append(pa.record_batch([pa.array([item] * len(marks), pa.string()), pa.array([0] * len(marks), pa.int32()), pa.array(marks.view(np.int64))], ["item", "size", "window"]))
+                full, first = np.unique(grams(own, size), return_index=True)
+                marks = _least(grams(own, k), window - k + 1)[first].view(np.int64) if size == window else np.zeros(len(full), np.int64)
+                out.append(pa.record_batch([pa.array([item] * len(full), pa.string()), pa.array([size] * len(full), pa.int32()), pa.array(full.view(np.int64)), pa.array(marks)], ["item", "size", "window", "mark"]))
             yield from out
 
     return f
@@ -52,16 +50,17 @@ def _benchmark_windows(k: int, window: int):
 class _Block:
     """A block of benchmark windows in sorted arrays: fingerprints, and by size the windows with their items."""
 
-    def __init__(self, rows: list):
-        self.marks = np.unique(np.array([r.window for r in rows if r.size == 0], np.int64).view(np.uint64))
-        self.items = sorted({r.item for r in rows if r.size})
-        number = {x: i for i, x in enumerate(self.items)}
+    def __init__(self, rows: pa.Table, most: int):
+        size, window, mark = (rows.column(c).to_numpy() for c in ("size", "window", "mark"))
+        item = rows.column("item").combine_chunks().dictionary_encode()
+        number = item.indices.to_numpy(zero_copy_only=False)
+        self.items = item.dictionary.to_pylist()
+        self.marks = np.unique(mark[size == most].view(np.uint64))
         self.sizes = {}
-        for size in sorted({r.size for r in rows if r.size}):
-            h = np.array([r.window for r in rows if r.size == size], np.int64).view(np.uint64)
-            i = np.array([number[r.item] for r in rows if r.size == size], np.int64)
-            order = np.argsort(h, kind="stable")
-            self.sizes[size] = (h[order], i[order])
+        for n in np.unique(size).tolist():
+            own = np.flatnonzero(size == n)
+            own = own[np.argsort(window[own].view(np.uint64), kind="stable")]
+            self.sizes[n] = window[own].view(np.uint64), number[own].astype(np.int64)
 
 
 def _within(h: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -138,27 +137,19 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
     """One row for each row of docs: row (a struct of the carried columns), hit_bits (a bit for each word, null if
     none is hit), items (sorted ids, as strings, of the items with an occurring window), n_words and n_hit.
 
-    Benchmark windows come in blocks of about block_windows, so that a broadcast has that bound at any benchmark size; each
+    Benchmark windows come in blocks of about block_windows, each dealt by window and item together with its own fingerprint, so
+    that what is collected and broadcast has that bound at any benchmark size, also where a third of the items share a window; each
     further block is another pass over the documents. Null and empty texts have no words, items without words or id have no
-    windows, repeated rows are judged one by one, an empty table gives no rows, and columns of any name are carried.
+    windows, repeated rows are judged one by one, very long texts are searched whole, an empty table gives no rows, and columns of
+    any name are carried.
     """
     spark = docs.sparkSession
     bench = rows_of(benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").alias("text")), "item_id", "text")
-    windows = bench.mapInArrow(_benchmark_windows(k, window), "item string, size int, window long").distinct()
-    total = windows.count()
-    blocks = max(1, -(-total // block_windows))
-    if blocks > 1:
-        windows = table(windows)
+    windows = table(bench.mapInArrow(_benchmark_windows(k, window), "item string, size int, window long, mark long").distinct())
+    blocks = max(1, -(-windows.count() // block_windows))
     out = rows_of(docs, *carry, text).withColumns({"hit_bits": F.lit(None).cast("binary"), "items": F.lit(None).cast("array<string>")})
     for b in range(blocks):
-        # a window and its fingerprints may be in different blocks: fingerprints go to all
-        rows = windows.where(f"size = 0 or pmod(xxhash64(window), {blocks}) = {b}") if blocks > 1 else windows
-        if blocks > 1:
-            kept = rows.where("size != 0").collect()
-            marks = windows.where("size = 0").join(windows.where(f"size != 0 and pmod(xxhash64(window), {blocks}) = {b}").select("item").distinct(), "item", "left_semi").select(F.lit("").alias("item"), "size", "window").distinct().collect()
-            block = _Block(kept + marks)
-        else:
-            block = _Block(rows.collect())
+        block = _Block(windows.where(f"pmod(xxhash64(window, item), {blocks}) = {b}").toArrow(), window)
         names = list(dict.fromkeys([*carry, *[text] * (b + 1 < blocks)]))
         out = out.select("row", "hit_bits", "items").mapInArrow(_mark(spark.sparkContext.broadcast(block), text, names, k, window), carried(out, names, "hit_bits binary, items array<string>, n_words long, n_hit long"))
         if b + 1 < blocks:
