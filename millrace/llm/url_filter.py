@@ -1,7 +1,8 @@
 """URL filter: rules first, then naive Bayes over the words that host names are made of.
 
-Host names are split into words by a unigram Viterbi search; words and their counts come from the texts of all pages. A multinomial
-naive Bayes learns allow and block from all urls that a rule judges, and judges the rest by host words and path tokens.
+Host names are split into words by a unigram Viterbi search; words and their counts come from the texts of all pages, and those
+that are part of a name of some url make the lexicon. A multinomial naive Bayes learns allow and block from all urls that a rule
+judges, and judges the rest by host words and path tokens.
 """
 
 from __future__ import annotations
@@ -15,10 +16,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import table
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
-#: Least share of all words of pages of a word of the lexicon, which so has at most 1 / SHARE; letters of its longest word.
-SHARE, LONGEST = 1e-5, 24
+#: Least count in all pages of a word of the lexicon; letters of its longest word.
+LEAST, LONGEST = 2, 24
 ALLOW, BLOCK = "allow", "block"
 
 
@@ -42,12 +45,23 @@ def matched_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
     return rule, action
 
 
-def lexicon_of(html: DataFrame, column: str, share: float = SHARE) -> dict[str, float]:
-    """log10 probabilities of the words of all texts without their markup; words below the share are left out."""
+def page_words(html: DataFrame, column: str) -> DataFrame:
+    """(w, count): the words of all texts without their markup, in one pass."""
     text = F.regexp_replace(F.regexp_replace(F.coalesce(F.col(f"`{column}`"), F.lit("")), r"(?s)<(script|style)\b.*?</\1>", " "), r"<[^>]*>|&\w+;", " ")
-    words = html.select(F.explode(F.split(F.lower(text), r"[^\p{L}]+")).alias("w")).where(F.length("w").between(2, LONGEST)).groupBy("w").count()
+    words = html.select(F.explode(F.split(F.lower(text), r"[^\p{L}]+")).alias("w")).where(F.length("w").between(2, LONGEST))
+    return table(words.groupBy("w").count())
+
+
+def lexicon_of(words: DataFrame, names: DataFrame, least: int = LEAST) -> dict[str, float]:
+    """log10 probabilities of the words of pages that are part of a name (a column), which no other word can be.
+
+    What is collected is bounded by the parts of the distinct names, not by the pages: words in no name leave the lexicon unread.
+    """
     total = words.agg(F.sum("count")).first()[0] or 0
-    rows = words.where(F.col("count") >= max(1, share * total)).collect()
+    size = F.length("name")
+    parts = names.select("name", F.explode(F.sequence(F.lit(1), size - 1)).alias("at"))
+    parts = parts.select(F.explode(F.transform(F.sequence(F.lit(2), F.least(F.lit(LONGEST), F.length("name") - F.col("at") + 1)), lambda n: F.substr("name", F.col("at"), n))).alias("w"))
+    rows = words.where(F.col("count") >= least).join(parts.distinct(), "w", "left_semi").collect()
     return {r.w: math.log10(r["count"] / total) for r in rows}
 
 
@@ -112,18 +126,19 @@ def _judged(lexicon, model):
     return f
 
 
-def judge_urls(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", html: str = "html", rules=RULES, share: float = SHARE) -> DataFrame:
+def judge_urls(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", html: str = "html", rules=RULES, least: int = LEAST) -> DataFrame:
     """row (a struct of the page's id), host, path, rule, verdict, score (log odds of block) and host_words for each row of pages.
 
     Null urls and urls without `://` have an empty host and path, so only the classes' share judges them. Repeated rows each count
-    and each get a row. If no rule judges any url, or the table is empty, every url that is left is allowed. Other columns are not read.
+    and each get a row; a very long url is split whole. If no rule judges any url, or the table is empty, every url that is left is allowed. Other columns are not read.
     """
     spark = pages.sparkSession
     host, path = host_and_path(F.col(f"`{url}`"))
     parsed = pages.select(F.struct(F.col(f"`{page_id}`").alias("page_id")).alias("row"), host.alias("host"), path.alias("path"))
     rule, action = matched_rule(F.col("host"), F.col("path"), rules)
     parsed = parsed.select("row", "host", "path", rule.alias("rule"), action.alias("action"))
-    lexicon = spark.sparkContext.broadcast(lexicon_of(pages, html, share))
+    names = parsed.select(F.explode(F.concat(*[F.regexp_extract_all(x, F.lit(r"\p{L}{2,}"), F.lit(0)) for x in (F.col("host"), F.lower("path"))])).alias("name")).distinct()
+    lexicon = spark.sparkContext.broadcast(lexicon_of(page_words(pages, html), names, least))
     # a host with a third of all rows comes here as a few rows with counts
     labelled = parsed.where("action is not null").groupBy("host", "path", "action").count()
     classes = {r.action: r.n for r in labelled.groupBy("action").agg(F.sum("count").alias("n")).collect()}
