@@ -1,4 +1,4 @@
-"""Packing: order-preserving dynamic programming over cuts at document ends, sentence ends and a coarse grid.
+"""Packing: order-preserving dynamic programming over cuts at document ends and sentence ends, and on a grid in long sentences alone.
 
 Each partition holds a range of documents in order. Its token stream is packed block by block; within a block the cheapest chain
 of cuts is found with a monotone queue, where a sequence costs its padding and a cut costs what it truncates.
@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 from .common import field, pieces, rows_of, trim
 
 LENGTH, END_ID = 2048, 1
-#: What a cut costs, in padded tokens: at a document's end, at a sentence's end, elsewhere; and the width of the grid elsewhere.
-AT_DOC, AT_SENTENCE, ELSEWHERE, GRID = 0, 4, 16, 16
+#: What a cut costs, in padded tokens: at a document's end, at a sentence's end, elsewhere.
+AT_DOC, AT_SENTENCE, ELSEWHERE = 0, 4, 16
+#: Tokens of a sentence above which it may be cut inside, and the width of the grid of such cuts.
+LONG, GRID = 64, 16
 #: Tokens of a block, which bounds memory: a block ends with the document that reaches it.
 BLOCK = 1 << 20
 #: Words whose ids a worker remembers.
@@ -124,7 +126,7 @@ def cut_points(ids: np.ndarray, doc_ends: np.ndarray, stops: np.ndarray, length:
     cost[doc_ends] = AT_DOC
     known = np.unique(np.concatenate([[0], sentence, doc_ends]))
     gaps = np.diff(known)
-    extra = np.maximum(gaps - 1, 0) // GRID
+    extra = np.where(gaps > min(LONG, length // 2), (gaps - 1) // GRID, 0)
     starts = np.repeat(known[:-1], extra)
     nth = np.arange(len(starts)) - np.repeat(np.cumsum(extra) - extra, extra) + 1
     # at the end, a rest splits into powers of two, which need no padding
@@ -221,7 +223,8 @@ def pack(docs: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", text: str =
     """One row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Documents are packed in the order of their ids (null first, repeated ids one by one). A null or empty text has only the end
-    id; an empty table gives no rows; other columns are not read. tokenizer is a file that exists on every executor.
+    id; a very long text may be cut into many sequences; an empty table gives no rows; other columns are not read. tokenizer is a file
+    that exists on every executor.
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows_of(docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")), "doc_id", "text")
