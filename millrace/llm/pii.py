@@ -1,4 +1,7 @@
-"""Personal data: regular expressions propose spans, checksums confirm them, nearby words adjust the score.
+"""Personal data: regular expressions propose spans, checksums confirm them, nearby words adjust the score, which decides.
+
+Spans of the base kinds all stay, with their score. Of the kinds that the method adds, account numbers and secrets, those stay that
+reach a score of ACCEPT: a number does by its checksum, a secret, which has none, only by a word nearby.
 
 Built-in expressions only, and no shuffle: each text is judged in its row. Java's regular expressions recurse on repeated groups,
 so groups are possessive, and a search starts only where a run of its characters starts; neither changes what matches.
@@ -20,7 +23,8 @@ _NUMBER = "|".join([
     *[rf"(?:{x.replace(' ', '|')})[0-9]{{2}}(?:[ ]?[A-Z0-9]){{{n - 4}}}+(?![A-Za-z0-9])" for n, x in IBAN_SIZES.items()],
     rf"(?!{_KNOWN})[A-Z]{{2}}[0-9]{{2}}(?:[ ]?[A-Z0-9]){{11,30}}+[A-Za-z0-9]*+",
 ])
-KINDS = ("email", "ip", "card", "phone", "iban")
+KINDS = ("email", "ip", "card", "phone", "iban", "secret")
+ADDED = ("iban", "secret")
 _LOCAL = "A-Za-z0-9._%+-"
 PATTERNS = {
     "email": rf"(?:\G|(?<![{_LOCAL}]))[{_LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -30,6 +34,7 @@ PATTERNS = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
     # only the first four characters are consumed, so that a number is also tried where an earlier try reaches into it
     "iban": rf"(?<![A-Za-z0-9])(?=({_NUMBER}))[A-Z]{{2}}[0-9]{{2}}",
+    "secret": r"(?<![A-Za-z0-9_])[A-Za-z0-9_]{20,}+",
 }
 #: Words that make a kind likelier within CONTEXT code points before a span.
 WORDS = {
@@ -38,8 +43,9 @@ WORDS = {
     "card": r"(?i)card|visa|karte|tarjeta|carte|payment",
     "phone": r"(?i)phone|tel|call|mobile|fax",
     "iban": r"(?i)iban|account|konto|cuenta|compte|bank",
+    "secret": r"(?i)token|secret|passw|passphrase|credential|bearer|auth|api.?key|private.?key|access.?key",
 }
-CONTEXT, BASE_SCORE, WORD_SCORE = 40, {"email": 0.8, "ip": 0.6, "card": 0.7, "phone": 0.6, "iban": 0.5}, 0.2
+CONTEXT, BASE_SCORE, WORD_SCORE, ACCEPT = 40, {"email": 0.8, "ip": 0.6, "card": 0.7, "phone": 0.6, "iban": 0.6, "secret": 0.4}, 0.2, 0.6
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
 
@@ -65,6 +71,8 @@ CHECKS = {
     "ip": lambda m: m.rlike(rf"^{_OCTET}\.{_OCTET}\.{_OCTET}\.{_OCTET}$"),
     "card": lambda m: _luhn(_digits(m)),
     "phone": lambda m: F.length(_digits(m)).between(9, 15),
+    # letters and digits mixed, as random strings have them, and not words or numbers
+    "secret": lambda m: m.rlike("[0-9].*[0-9].*[0-9].*[0-9]") & m.rlike("[A-Za-z].*[A-Za-z].*[A-Za-z].*[A-Za-z]"),
     "iban": lambda m: m.rlike("^[A-Z0-9 ]+$") & F.length(F.replace(m, F.lit(" "), F.lit(""))).between(15, 34) & _mod97(m),
 }
 
@@ -80,40 +88,67 @@ def _confirmed(kind: str, match: Column) -> Column:
     return F.get(F.filter(runs, passes), F.lit(0))
 
 
-def find_spans(text: Column, kind: str) -> Column:
-    """array of (kind, start, end, score): the matches of a kind in a text that pass its check, by start, in code points."""
-    pattern = F.lit(PATTERNS[kind])
-    matches = [F.regexp_extract_all(text, pattern, F.lit(int(i))).alias(n) for n, i in (("m", 0), ("whole", kind == "iban"))]
-    pairs = F.arrays_zip(*matches, F.split(text, PATTERNS[kind], -1).alias("gap"))
+def _running(sizes: Column, chunk: int = 256) -> Column:
+    """The sums of an array's elements up to each one. Appending copies what is there, so it is done within chunks, then over them."""
+    def sums(x):
+        return F.aggregate(x, F.array().cast("array<long>"), lambda out, n: F.concat(out, F.array(F.coalesce(F.get(out, F.size(out) - 1), F.lit(0).cast("long")) + n)))
+
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(sizes) - 1) / chunk).cast("int")), lambda c: sums(F.slice(sizes, c * chunk + 1, F.lit(chunk))))
+    ends = F.transform(chunks, lambda c: F.get(c, F.size(c) - 1))
+    whole = F.zip_with(chunks, sums(ends), lambda c, end: F.transform(c, lambda x: x + end - F.get(c, F.size(c) - 1)))
+    return F.when(F.size(sizes) > 0, F.flatten(whole)).otherwise(F.array().cast("array<long>"))
+
+
+def _placed(text: Column, kind: str) -> Column:
+    """array of (start, m): the matches of a kind that pass its check, by start."""
+    matches = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))
+    gaps = F.split(text, PATTERNS[kind], -1)
+    ends = _running(F.zip_with(F.slice(gaps, F.lit(1), F.size(matches)), matches, lambda g, m: (F.length(g) + F.length(m)).cast("long")))
+    spans = F.zip_with(ends, matches, lambda end, m: F.struct((end - F.length(m)).cast("int").alias("start"), _confirmed(kind, m).alias("m")))
+    return F.filter(spans, lambda s: s["m"].isNotNull())
+
+
+def _placed_numbers(text: Column) -> Column:
+    """_placed for account numbers, whose matches are tried at each start and may reach into the next ones."""
+    pattern = F.lit(PATTERNS["iban"])
+    matches = [F.regexp_extract_all(text, pattern, F.lit(i)).alias(n) for n, i in (("m", 0), ("whole", 1))]
+    pairs = F.arrays_zip(*matches, F.split(text, PATTERNS["iban"], -1).alias("gap"))
     empty = F.array().cast("array<struct<start:int,m:string>>")
 
     def step(a, p):
         start = a["at"] + F.length(p["gap"])
-        span = F.when(p["m"].isNotNull() & (start >= a["free"]), _confirmed(kind, p["whole"]))
+        span = F.when(p["m"].isNotNull() & (start >= a["free"]), _confirmed("iban", p["whole"]))
         return F.struct(
             (start + F.coalesce(F.length(p["m"]), F.lit(0))).alias("at"), F.coalesce(start + F.length(span), a["free"]).alias("free"),
             F.when(span.isNull(), a["out"]).otherwise(F.concat(a["out"], F.array(F.struct(start.alias("start"), span.alias("m"))))).alias("out"),
         )
 
     # free: where the last span ends, before which no other one starts
-    placed = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), F.lit(0).alias("free"), empty.alias("out")), step, lambda a: a["out"])
+    return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), F.lit(0).alias("free"), empty.alias("out")), step, lambda a: a["out"])
+
+
+def find_spans(text: Column, kind: str) -> Column:
+    """array of (kind, start, end, score): the matches of a kind in a text that pass its check, by start, in code points."""
     near = lambda s: F.substring(text, F.greatest(s["start"] - CONTEXT, F.lit(0)) + 1, F.least(s["start"], F.lit(CONTEXT)))
-    return F.transform(placed, lambda s: F.struct(
+    spans = F.transform(_placed_numbers(text) if kind == "iban" else _placed(text, kind), lambda s: F.struct(
         F.lit(kind).alias("kind"), s["start"].alias("start"), (s["start"] + F.length(s["m"])).alias("end"),
-        (F.lit(BASE_SCORE[kind]) + F.when(near(s).rlike(WORDS[kind]), WORD_SCORE).otherwise(0.0)).alias("score"),
+        F.round(F.lit(BASE_SCORE[kind]) + F.when(near(s).rlike(WORDS[kind]), WORD_SCORE).otherwise(0.0), 2).alias("score"),
     ))
+    return F.filter(spans, lambda s: s["score"] >= ACCEPT) if kind in ADDED else spans
 
 
 def with_spans(docs: DataFrame, *, text: str = "text", carry: tuple[str, ...] = ("doc_id",), kinds: tuple[str, ...] = KINDS) -> DataFrame:
     """row (a struct of the carried columns) and one array of (kind, start, end, score) for each kind, for each row of docs.
 
     Null and empty texts have no spans; repeated rows are judged one by one; an empty table gives no rows; columns of any name
-    are carried within row. A text without a digit or an at sign is not searched, as no kind can match there.
+    are carried within row. Kinds are searched apart: where spans of two kinds overlap, both stay. A very long text is searched
+    whole, in time proportional to its length but for its matches, which are placed in chunks. A text is searched for a kind only
+    if it has the characters that every match of it has.
     """
     body = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), F.col(f"`{text}`").alias("text"))
     none = F.array().cast("array<struct<kind:string,start:int,end:int,score:double>>")
-    may = {"email": body.contains("@"), "ip": body.contains("."), "card": body.rlike("[0-9][ -]?[0-9]"), "phone": body.contains("+"), "iban": body.rlike("[A-Z]{2}[0-9]{2}")}
+    may = {"email": body.contains("@"), "ip": body.contains("."), "card": body.rlike("[0-9][ -]?[0-9]"), "phone": body.contains("+"), "iban": body.rlike("[A-Z]{2}[0-9]{2}"), "secret": body.rlike("[A-Za-z0-9_]{20}")}
     return rows.select("row", *[F.when(may[k], find_spans(body, k)).otherwise(none).alias(k) for k in kinds])
 
 
@@ -125,5 +160,30 @@ def query(spark, sf_dir: str) -> DataFrame:
     """op10: every document."""
     found = with_spans(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     base, all_ = F.concat("email", "ip", "card", "phone"), F.concat(*KINDS)
-    counts = [F.size(k).cast("long").alias(f"n_{k}") for k in KINDS]
-    return found.select(F.col("row.doc_id").alias("doc_id"), *counts[:4], F.sha2(_listed(base), 256).alias("base_sha256"), _listed(all_).alias("spans"), counts[4])
+    counts = [F.size(k).cast("long").alias(f"n_{k}") for k in KINDS if k not in ADDED]
+    return found.select(F.col("row.doc_id").alias("doc_id"), *counts, F.sha2(_listed(base), 256).alias("base_sha256"), _listed(all_).alias("spans"))
+
+
+def _spans_sql(kind: str, pattern: str, check: str, group: str = "") -> str:
+    """(doc_id, kind, start, m) of the matches of a pattern; what is before a match is what the split leaves and the matches before."""
+    return f"""SELECT doc_id, '{kind}' AS kind, (list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0))::BIGINT AS start, ms[i] AS m, t
+  FROM (SELECT doc_id, t, ms, gaps, unnest(range(1, len(ms) + 1)) AS i FROM (SELECT doc_id, t, regexp_extract_all(t, '{pattern}') AS ms, regexp_split_to_array(t, '{pattern}') AS gaps FROM d)) WHERE {check}"""
+
+
+_D = "regexp_replace(ms[i], '[^0-9]', '', 'g')"
+_MOD = "list_reduce(list_prepend(0, list_transform(string_split(substr(c, 5) || left(c, 4), ''), lambda x: CASE WHEN x >= 'A' THEN ascii(x) - 55 ELSE x::INT END)), lambda a, x: (a * CASE WHEN x > 9 THEN 100 ELSE 10 END + x) % 97)"
+_SIZED = "|".join(f"(?:{x.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" for n, x in IBAN_SIZES.items())
+SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+b AS ({_spans_sql("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+".replace(chr(92) * 2, chr(92)), "true")}
+UNION ALL {_spans_sql("ip", r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", "len(list_filter(string_split(ms[i], '.'), lambda x: length(ltrim(x, '0')) > 3 OR lpad(ltrim(x, '0'), 3, '0') > '255')) = 0")}
+UNION ALL {_spans_sql("card", r"[0-9](?:[ -]?[0-9])+", f"length({_D}) BETWEEN 13 AND 19 AND list_sum(list_transform(string_split(reverse({_D}), ''), lambda x, j: CASE WHEN j % 2 = 1 THEN x::INT WHEN x::INT > 4 THEN 2 * x::INT - 9 ELSE 2 * x::INT END)) % 10 = 0")}
+UNION ALL {_spans_sql("phone", r"\+[0-9][ ().0-9-]+[0-9]", f"length({_D}) BETWEEN 9 AND 15")}),
+n AS (SELECT *, replace(m, ' ', '') AS c FROM ({_spans_sql("iban", _SIZED, "true")})),
+a AS (SELECT doc_id, kind, start, m FROM n WHERE {_MOD} = 1 AND NOT regexp_matches(substr(t, start, least(start, 1)), '[A-Za-z0-9]') AND NOT regexp_matches(substr(t, start + length(m) + 1, 1), '[A-Za-z0-9]')
+UNION ALL SELECT doc_id, kind, start, m FROM ({_spans_sql("secret", "[A-Za-z0-9_]{20,}", "length(regexp_replace(ms[i], '[^0-9]', '', 'g')) > 3 AND length(regexp_replace(ms[i], '[^A-Za-z]', '', 'g')) > 3")})
+  WHERE regexp_matches(substr(t, greatest(start - {CONTEXT}, 0) + 1, least(start, {CONTEXT})), '{WORDS["secret"]}')),
+s AS (SELECT doc_id, kind, start, kind || ':' || start || ':' || start + length(m) AS x, list_position(['email', 'ip', 'card', 'phone', 'iban', 'secret'], kind) AS k FROM (SELECT doc_id, kind, start, m FROM b UNION ALL SELECT * FROM a)),
+g AS (SELECT doc_id, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in ("email", "ip", "card", "phone"))}, string_agg(x, ',' ORDER BY k, start) FILTER (k <= 4) AS base, string_agg(x, ',' ORDER BY k, start) AS spans FROM s GROUP BY doc_id)
+SELECT d.doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in ("email", "ip", "card", "phone"))}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g USING (doc_id)
+"""

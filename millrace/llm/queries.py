@@ -21,4 +21,5 @@ ORACLES = {
     "op5_winnowing": winnowing.SQL,
     "op7_line_dedup": lines.SQL,
     "op8_cover_tree": cover_tree.SQL,
+    "op10_pii": pii.SQL,
 }

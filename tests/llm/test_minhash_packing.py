@@ -99,6 +99,29 @@ def test_packing_edge_cases(spark, block):
     assert len(again) == 3 and sum(p.length for p in again) == 6
 
 
+def test_cuts_of_a_block_are_the_cheapest_chain_of_document_and_sentence_ends():
+    rng = np.random.default_rng(4)
+    ids = rng.integers(2, 40, 3000).astype(np.uint32)
+    ids[800:1100] = 7  # one long sentence
+    stops = np.zeros(41, bool)
+    stops[[2, 3]] = True
+    ends = np.array([400, 405, 1500, 2200, 3000])
+    at, cost = packing.cut_points(ids, ends, stops, 256)
+    sentence = set((np.flatnonzero(stops[ids]) + 1).tolist()) | set(ends.tolist())
+    inside = [x for x in at.tolist() if x not in sentence and x < 2800]  # further on, cuts may leave powers of two
+    assert inside and all(min((b for b in sentence if b >= x)) - max((b for b in sentence | {0} if b < x)) > packing.LONG for x in inside if x > 256) and at[-1] == 3000
+    best = {0: 0}
+    for j, c in zip(at.tolist(), cost.tolist()):
+        sizes = {i: j - i for i in best if j - i <= 256}
+        ok = lambda n, j=j, c=c: n & (n - 1) == 0 and (c == packing.AT_DOC or j > 3000 - 512)
+        best[j] = min(best[i] + (0 if ok(n) else 256 - n) + c for i, n in sizes.items())
+    total = last = 0
+    for j in packing.best_cuts(at.tolist(), cost.tolist(), 256):
+        n, c = j - last, dict(zip(at.tolist(), cost.tolist()))[j]
+        total, last = total + (0 if n & (n - 1) == 0 and (c == packing.AT_DOC or j > 3000 - 512) else 256 - n) + c, j
+    assert last == 3000 and total == best[3000]
+
+
 def test_best_cuts_is_the_cheapest_chain():
     rng = random.Random(5)
     for _ in range(60):

@@ -138,13 +138,49 @@ def test_url_verdicts_equal_plain_viterbi_and_naive_bayes(spark):
     assert url_filter.judge_urls(df.limit(0)).count() == 0
 
 
-def test_url_query_judges_every_page(spark):
-    pages = {r.page_id: r.url for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()}
-    got = url_filter.query(spark, SMALL).collect()
-    assert sorted(r.page_id for r in got) == sorted(pages)
-    for r in got:
-        host, path, (rule, action) = plain_url(pages[r.page_id])
-        assert (r.host, r.path, r.rule) == (host, path, rule) and r.verdict == (action or ("block" if r.score > 0 else "allow"))
+def test_url_query_equals_plain_viterbi_and_naive_bayes_on_every_page(spark):
+    import regex
+
+    pages = [tuple(r) for r in spark.read.parquet(f"{SMALL}/pages.parquet").select("page_id", "url", "html").collect()]
+    count = Counter()
+    for *_, html in pages:
+        text = regex.sub(r"<[^>]*>|&[A-Za-z0-9_]+;", " ", regex.sub(r"<(script|style)\b.*?</\1>", " ", html or "", flags=regex.S))
+        count.update(w for w in regex.split(r"[^\p{L}]+", text.lower()) if 2 <= len(w) <= 24)
+    total = sum(count.values())
+    judged = {i: plain_url(u) for i, u, _ in pages}
+    names = {n for host, path, _ in judged.values() for n in regex.findall(r"\p{L}{2,}", host) + regex.findall(r"\p{L}{2,}", path.lower())}
+    parts = {n[i:j] for n in names for i in range(len(n)) for j in range(i + 2, min(len(n), i + 24) + 1)}
+    lexicon = {w: math.log10(c / total) for w, c in count.items() if c >= 2 and w in parts}
+    assert len(lexicon) > 20
+    unknown = min(lexicon.values()) - 1
+
+    def split(name):
+        best = [(0.0, ())]
+        for j in range(1, len(name) + 1):
+            options = [(best[i][0] + lexicon.get(name[i:j], unknown - (j - i)), -i) for i in range(max(0, j - 24), j)]
+            score, i = max(options)
+            best.append((score, best[-i][1] + (name[-i:j],)))
+        return best[-1][1]
+
+    def tokens(host, path):
+        for kind, own in (("h", re.split(r"[^\w]+|_", host)[:-1]), ("p", re.split(r"[^\w]+|_", path.lower()))):
+            for part in (x for n in own for x in re.findall(r"\d+|[^\W\d]+", n)):
+                yield from [kind + "#"] if part[0].isdigit() else [kind + (w if w in lexicon else "?") for w in split(part)]
+
+    seen, classes = {"allow": Counter(), "block": Counter()}, Counter()
+    for host, path, (_, action) in judged.values():
+        if action:
+            seen[action].update(tokens(host, path))
+            classes[action] += 1
+    words = set(seen["allow"]) | set(seen["block"])
+    size = {k: sum(x.values()) + len(words) + 1 for k, x in seen.items()}
+    odds = {w: math.log((seen["block"][w] + 1) / size["block"]) - math.log((seen["allow"][w] + 1) / size["allow"]) for w in words}
+    got = {r.page_id: r for r in url_filter.query(spark, SMALL).collect()}
+    assert sorted(got) == sorted(judged) and classes["allow"] and classes["block"]
+    for i, (host, path, (rule, action)) in judged.items():
+        score = math.log((classes["block"] + 1) / (classes["allow"] + 1)) + sum(odds.get(t, 0.0) for t in tokens(host, path))
+        assert (got[i].host, got[i].path, got[i].rule) == (host, path, rule) and abs(got[i].score - score) < 1e-9
+        assert got[i].verdict == (action or ("block" if score > 0 else "allow"))
 
 
 def labelled(n=500):
