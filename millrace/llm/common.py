@@ -210,7 +210,7 @@ def hot_limit(spark: SparkSession, rows: int) -> int:
 def components(links: DataFrame, *by: str, rounds: int = 60) -> DataFrame:
     """(by, node, root) for each node of links (by, a, b long): root is the smallest node reachable; by keeps graphs apart.
 
-    Alternates large-star and small-star joins over the links until they no longer change; each round is a written table. A node
+    Alternates large-star and small-star joins over the links until they no longer change; each step is a written table. A node
     with many neighbours, as the middle of a star, gets its least neighbour by a broadcast of such nodes, which are few.
     """
     spark = links.sparkSession
@@ -218,23 +218,17 @@ def components(links: DataFrame, *by: str, rounds: int = 60) -> DataFrame:
     node, before = [*by, "a"], None
 
     def least(rows: DataFrame, limit: int) -> DataFrame:
-        found = rows.groupBy(*node).agg(F.min("b").alias("m"), F.count("*").alias("size")).persist()
-        held.append(found)
-        return looked_up(rows, found, node, "size", limit).drop("size")
+        return looked_up(rows, rows.groupBy(*node).agg(F.min("b").alias("m"), F.count("*").alias("size")), node, "size", limit).drop("size")
 
     for _ in range(rounds):
-        held: list[DataFrame] = []
         limit = hot_limit(spark, 2 * (before[0] if before else edges.count()))
         both = edges.unionByName(edges.select(*by, F.col("b").alias("a"), F.col("a").alias("b")))
-        large = least(both, limit).where("b > a").select(*by, F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct().persist()
-        held.append(large)
+        large = table(least(both, limit).where("b > a").select(*by, F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct())
         small = least(large, limit)
         near, far = small.where("b != m").select(*by, F.col("b").alias("a"), F.col("m").alias("b")), small.select(*by, "a", F.col("m").alias("b"))
         last, edges = edges, table(near.unionByName(far).where("a != b").distinct())
         now = edges.agg(F.count("*"), F.sum(F.xxhash64(*by, "a", "b").cast("decimal(38,0)"))).first()
-        for df in held:
-            df.unpersist()
-        drop(spark, last)
+        drop(spark, last, large)
         if now == before:
             break
         before = now
