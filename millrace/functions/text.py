@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Words that negate a phrase after them, and how many characters before a phrase count.
+# Words that negate a phrase after them, and how many characters before a phrase count.
 NEGATION = {"zh": (("不", "没", "別", "别", "勿"), 8), "en": ((" not ", "don't ", "dont ", "can't ", "cannot ", "won't ", "never "), 24)}
 
 

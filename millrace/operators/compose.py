@@ -110,34 +110,61 @@ def document(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"document": nested, "markup": _element("document", head, *entries)})
 
 
+#: The markup's grammar as one pattern; its groups are FIELDS.
+_ATTRIBUTES = (
+    r'<document version="([^"]*)" task="([^"]*)" composition_version="[^"]*" language="([^"]*)" sample_id="([^"]*)">'
+    r'<entry kind="([^"]*)" source="qa" relation="([^"]*)" entity_id="([^"]*)" entity_name="[^"]*" entity_mention="[^"]*">([^<]*)<payload>([^<]*)</payload></entry>'
+    r'<entry kind="([^"]*)" source="[^"]*">([^<]*)</entry>'
+    r'<entry kind="([^"]*)" source="[^"]*" will_help_now="[^"]*" response_intent="([^"]*)" policy_decision="[^"]*">([^<]*)'
+    r'(<action tool="([^"]*)" dialect="[^"]*" target_entity_id="([^"]*)">[^<]*<payload>([^<]*)</payload>\)</action>)?</entry></document>'
+)
+FIELDS = (
+    "version", "task", "language", "sample_id", "observation_kind", "relation", "entity_id", "observation_text", "observation_payload", "belief_kind", "belief_text", "me_kind", "intent", "reasoning", "action", "tool",
+    "target", "action_payload",
+)
+
+
+def _unescaped(text: Column) -> Column:
+    for out, raw in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#13;", "\r"), ("&amp;", "&")):
+        text = F.replace(text, F.lit(out), F.lit(raw))
+    return text
+
+
+def parsed(markup: Column) -> Column:
+    """The fields of a document's markup as a struct; null if it is not of the grammar. A text has no bare `<`, so one pass finds all."""
+    fields = [F.regexp_extract(markup, f"^{_ATTRIBUTES}$", i + 1) for i in range(len(FIELDS))]
+    own = F.struct(*[(f if n == "action" else _unescaped(f)).alias(n) for n, f in zip(FIELDS, fields)])
+    return F.when(markup.rlike(f"^{_ATTRIBUTES}$"), own)
+
+
 def round_trip_issues(rows: DataFrame) -> DataFrame:
     """Documents with the array `issues` of what their markup, read back, does not give as it was composed."""
-    c = F.col
-    get = lambda path: F.expr(f"xpath_string(markup, '{path}')")
-    count = lambda path: F.expr(f"xpath_int(markup, 'count({path})')")
+    c, get = F.col, lambda n: F.col(f"_parsed.{n}")
     action = F.coalesce(c("reply_action_text"), F.lit("")) != ""
     checks = {
-        "version": get("/document/@version") != "0",
-        "task": get("/document/@task") != TASK,
-        "language": get("/document/@language") != c("language"),
-        "sample_id": get("/document/@sample_id") != c("sample_id"),
-        "entries": count("/document/entry") != 3,
-        "observation_kind": get("/document/entry[1]/@kind") != "observation",
-        "observation_relation": get("/document/entry[1]/@relation") != c("text.relation_kind"),
-        "observation_payload": get("/document/entry[1]/payload") != c("payload.request_text"),
-        "observation_text": get("/document/entry[1]/text()[1]") != c("observation_wrapper"),
-        "belief_kind": get("/document/entry[2]/@kind") != "belief",
-        "belief_text": get("/document/entry[2]") != F.concat("belief_entity_registry_text", "belief_text"),
-        "me_kind": get("/document/entry[3]/@kind") != "me",
-        "me_intent": get("/document/entry[3]/@response_intent") != c("response_intent"),
-        "action_count": count("/document/entry[3]/action") != F.when(action, 1).otherwise(0),
-        "action_payload": action & (get("/document/entry[3]/action/payload") != c("reply_action_text")),
+        "version": get("version") != "0",
+        "task": get("task") != TASK,
+        "language": get("language") != c("language"),
+        "sample_id": get("sample_id") != c("sample_id"),
+        "observation_kind": get("observation_kind") != "observation",
+        "observation_relation": get("relation") != c("text.relation_kind"),
+        "observation_payload": get("observation_payload") != c("payload.request_text"),
+        "observation_text": get("observation_text") != c("observation_wrapper"),
+        "belief_kind": get("belief_kind") != "belief",
+        "belief_text": get("belief_text") != F.concat("belief_entity_registry_text", "belief_text"),
+        "me_kind": get("me_kind") != "me",
+        "me_intent": get("intent") != c("response_intent"),
+        "action_count": (get("action") != "") != action,
+        "action_payload": action & (get("action_payload") != c("reply_action_text")),
+        "action_target": action & (get("target") != c("rendered_counterparty_entity_id")),
         "answer_leak": (c("response_intent") != "help_now") & (c("reply_action_text") != ""),
         "help_without_action": c("will_help_now") & ~action,
         "rendered_id": F.length("rendered_counterparty_entity_id") != 11,
         "registry": ~F.contains(c("belief_entity_registry_text"), c("rendered_counterparty_entity_id")),
     }
-    return rows.withColumn("issues", F.array_compact(F.array(*[F.when(F.coalesce(bad, F.lit(True)), F.lit(k)) for k, bad in checks.items()])))
+    found = F.array_compact(F.array(*[F.when(F.coalesce(bad, F.lit(True)), F.lit(k)) for k, bad in checks.items()]))
+    rows = rows.withColumn("_parsed", parsed(c("markup")))
+    return rows.withColumn("issues", F.when(c("_parsed").isNull(), F.array(F.lit("entries"))).otherwise(found)).drop("_parsed")
 
 
 DERIVED = (

@@ -17,7 +17,9 @@ from ..sources.scratch import stored
 from .ordinals import with_ordinals
 from .sampling import decision_quotas, label_quotas, slots
 
-VERSION, ATTEMPTS, FIRST_ATTEMPTS, SOFT_LIMIT = "1.1", 128, 8, 2
+VERSION, ATTEMPTS, SOFT_LIMIT = "1.1", 128, 2
+#: Attempts that are drawn at once, for slots that no earlier one fits.
+PASSES = (1, 4, 16, ATTEMPTS)
 LOW_HIGH = ("low", "medium", "high")
 
 
@@ -141,10 +143,10 @@ def with_relation(slots_: DataFrame) -> DataFrame:
     return slots_.join(F.broadcast(dim), "label")
 
 
-def accepted(slots_: DataFrame, attempts: int = ATTEMPTS, first: int = FIRST_ATTEMPTS) -> DataFrame:
+def accepted(slots_: DataFrame, passes: tuple[int, ...] = PASSES) -> DataFrame:
     """For each slot its first attempt without a hard and with at most two soft issues.
 
-    A few attempts are drawn for all slots, the rest only for slots still open; a slot that no attempt fits is an error.
+    One attempt is drawn for all slots, and more in each pass for slots still open; a slot that no attempt fits is an error.
     """
 
     def tried(df, lo, hi):
@@ -152,9 +154,12 @@ def accepted(slots_: DataFrame, attempts: int = ATTEMPTS, first: int = FIRST_ATT
         fits = drawn_.where(~F.col("implausible") & (F.col("soft_issues") <= SOFT_LIMIT))
         return fits.groupBy("slot").agg(F.min_by(F.struct(*drawn_.columns), "attempt").alias("r")).select("r.*")
 
-    early = stored(tried(slots_, 0, first))
-    late = tried(slots_.join(early.select("slot"), "slot", "left_anti"), first, attempts)
-    found = early.unionByName(late)
+    slots_ = stored(slots_)
+    left, lo, found = slots_, 0, None
+    for hi in passes:
+        own = stored(tried(left, lo, hi))
+        found = own if found is None else found.unionByName(own)
+        left, lo = slots_.join(found.select("slot"), "slot", "left_anti"), hi
     whole = slots_.select("slot").join(found, "slot", "left")
     check = F.when(F.col("decision").isNull(), F.raise_error(F.concat(F.lit("no attempt fits slot "), F.col("slot").cast("string")))).otherwise(F.col("decision"))
     return whole.withColumn("decision", check)

@@ -5,8 +5,12 @@ A provider is a function from inputs to results; realize() runs it with rules an
 
 from __future__ import annotations
 
+import json
+import os
 import random
 import time
+import urllib.error
+import urllib.request
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
@@ -71,6 +75,57 @@ def called(client, row: dict, attempts: int, pause: tuple[float, float], sleep=t
     return "", "", "not tried"
 
 
+class HttpError(Exception):
+    """A response with a status that is no success."""
+
+    def __init__(self, status: int, text: str):
+        super().__init__(f"status {status}: {text[:200]}")
+        self.status = status
+
+
+def settings(spark) -> dict:
+    """Where a client of chat completions finds its service: Spark's configuration first, then the environment."""
+    names = {"url": "MILLRACE_CHAT_URL", "key": "MILLRACE_CHAT_KEY", "model": "MILLRACE_CHAT_MODEL"}
+    found = {k: spark.conf.get(f"spark.millrace.chat.{k}", None) or os.environ.get(v) for k, v in names.items()}
+    if lost := [k for k in ("url", "model") if not found[k]]:
+        raise ValueError(f"no {' and '.join(lost)} for the chat service: set spark.millrace.chat.* or MILLRACE_CHAT_*")
+    return found
+
+
+class ChatClient:
+    """Posts chat completions; gives the response's text. Pickled with its settings alone, so each task makes its own requests."""
+
+    def __init__(self, url: str, key: str | None, model: str, timeout: float = 120.0):
+        self.url, self.key, self.model, self.timeout = url.rstrip("/"), key, model, timeout
+
+    def body(self, messages: list[dict], tool: dict | None = None, json_only: bool = False, temperature: float = 0.3, max_tokens: int | None = None) -> dict:
+        out = {"model": self.model, "messages": messages, "temperature": temperature} | ({"max_tokens": max_tokens} if max_tokens else {})
+        if tool:
+            out |= {"tools": [tool], "tool_choice": {"type": "function", "function": {"name": tool["function"]["name"]}}}
+        return out | ({"response_format": {"type": "json_object"}} if json_only else {})
+
+    def __call__(self, messages: list[dict], **more) -> str:
+        headers = {"Content-Type": "application/json"} | ({"Authorization": f"Bearer {self.key}"} if self.key else {})
+        request = urllib.request.Request(f"{self.url}/chat/completions", json.dumps(self.body(messages, **more)).encode(), headers)
+        try:
+            with urllib.request.urlopen(request, timeout=self.timeout) as response:
+                return response.read().decode()
+        except urllib.error.HTTPError as e:
+            raise HttpError(e.code, e.read().decode(errors="replace")) from e
+
+
+def asked(rows: DataFrame, client: Callable[[list[dict]], str], messages: str = "messages", attempts: int = 5, pause: tuple[float, float] = (2.0, 60.0)) -> DataFrame:
+    """rows with response (a raw text, null after the last failed try) and error; one request at a time in each task."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+
+    def f(batches):
+        for b in batches:
+            got = [called(lambda m: (client(m), ""), [{"role": m["role"], "content": m["content"]} for m in own], attempts, pause) for own in b[messages]]
+            yield b.assign(response=[x[0] or None for x in got], error=[x[2] for x in got])
+
+    return rows.mapInPandas(f, f"{schema}, response string, error string")
+
+
 def realize(inputs: DataFrame, provider: Provider, checkpoint: Callable[[DataFrame], DataFrame], attempts: int = 3, judge: Callable[[DataFrame], Column] | None = None) -> tuple[DataFrame, DataFrame]:
     """(accepted rows, tries): up to so many passes, each over the rows whose last try broke a rule or was not passed by the judge.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import joined, question_id
 from ..functions.text import slugify, strip_text
+from ..sources.scratch import stored
 from .ordinals import with_ordinals
 
 VIEW, FAMILY = "qa_export_sft_v1", "qa_corpus"
@@ -15,13 +16,13 @@ VIEW, FAMILY = "qa_export_sft_v1", "qa_corpus"
 def tree_paths(nodes: DataFrame, max_depth: int = 8) -> DataFrame:
     """(id, parent, slug, ord) to the same with path (array of slugs below the root), depth and is_leaf.
 
-    One join a level, at most max_depth; the root (no parent) has an empty path. Nodes that the root doesn't reach are left out.
+    One join a level, at most max_depth, each level stored once; the root (no parent) has an empty path. Nodes that the root doesn't reach are left out.
     """
     level = nodes.where("parent is null").select("*", F.array().cast("array<string>").alias("path"), F.lit(0).alias("depth"))
     out = level
     for depth in range(1, max_depth + 1):
         up = level.select(F.col("id").alias("parent"), F.col("path").alias("_up"))
-        level = nodes.join(up, "parent").select(*nodes.columns, F.concat("_up", F.array("slug")).alias("path"), F.lit(depth).alias("depth"))
+        level = stored(nodes.join(up, "parent").select(*nodes.columns, F.concat("_up", F.array("slug")).alias("path"), F.lit(depth).alias("depth")))
         out = out.unionByName(level)
     inner = nodes.where("parent is not null").select(F.col("parent").alias("id")).distinct().withColumn("_inner", F.lit(True))
     return out.join(inner, "id", "left").withColumn("is_leaf", F.col("_inner").isNull()).drop("_inner")

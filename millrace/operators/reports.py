@@ -70,3 +70,25 @@ def folded_state(deltas: DataFrame, key: str, order: str, layer: str, block: str
     may = deltas.sparkSession.createDataFrame(rows, f"{layer} string, {block} string")
     allowed = deltas.join(F.broadcast(may), [layer, block], "left_semi")
     return allowed.groupBy(key, block).agg(F.max_by(value, order).alias(value), F.count("*").alias("changes"))
+
+
+def failure_events(log: DataFrame, line: str = "value") -> DataFrame:
+    """One row: the lines of a failure log that aren't blank."""
+    return log.agg(F.count_if(F.trim(line) != "").alias("failures"))
+
+
+def preflight(payloads: DataFrame, texts: DataFrame, samples: tuple[int, int] = (5, 3)) -> dict:
+    """The report before a composition: totals, distributions of both sides, first samples, readiness and warnings."""
+    sides = {}
+    for name, rows, keys, order, shown, columns in (
+        ("payloads", payloads, ["domain_slug", "bloom_level"], "payload_id", samples[0], ["payload_id", "domain_slug", "bloom_level", F.left("request_text", F.lit(80)).alias("request_preview")]),
+        ("texts", texts, ["will_help_now", "response_intent"], "record_id", samples[1], ["record_id", "policy_decision", "response_intent"]),
+    ):
+        found = distributions(rows, keys, order).collect()
+        ordered = lambda k, found=found: {r.value: r.n for r in sorted((r for r in found if r.dimension == k), key=lambda r: (-r.n, r.first))}
+        total = sum(r.n for r in found if r.dimension == keys[0])
+        sides[name] = {"total": total, **{k: ordered(k) for k in keys}, "sample": [r.asDict() for r in rows.orderBy(order).limit(shown).select(*columns).collect()]}
+    ready = sides["payloads"]["total"] > 0 and sides["texts"]["total"] > 0
+    levels = [x for x in sides["payloads"]["bloom_level"] if x]
+    warnings = ["no payloads"] * (not sides["payloads"]["total"]) + ["no texts"] * (not sides["texts"]["total"]) + ["fewer than three levels"] * (len(levels) < 3)
+    return sides | {"estimated_samples": sides["payloads"]["total"] if ready else 0, "readiness": "ready" if ready else "blocked", "warnings": warnings}

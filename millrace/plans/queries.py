@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import keys, text
-from ..operators import compose, ledger, policy, qa, reports, sampling, text_rules
+from ..operators import compose, ledger, policy, qa, reports, sampling
 from ..operators.ordinals import with_ordinals
 from ..operators.provider import template
 from ..sources.writers import shard_stats, spread_shards
@@ -286,12 +286,6 @@ def policy_records(spark, sf_dir):
     return rows.select("record_id", "attempt", *RECORD_COLUMNS, F.array_join("reason_tags", "|").alias("reason_tags"))
 
 
-@query(f"SELECT format('policy_rec__{{:06d}}', slot) AS record_id, 0 AS n_issues FROM ({SLOT_SQL})")
-def policy_contract(spark, sf_dir):
-    rows = policy.record_issues(policy.as_documents(policy.policy_records(spark, _customers(spark, sf_dir), SEED, WEIGHTS)))
-    return rows.select("record_id", F.size("issues").alias("n_issues"))
-
-
 # realization, composition, validation
 
 
@@ -306,11 +300,6 @@ def realized(spark, sf_dir) -> DataFrame:
     return template(inputs)
 
 
-@query(f"SELECT 'policy_text__' || format('policy_rec__{{:06d}}', slot) || '__r01' AS record_id, 0 AS n_issues FROM ({SLOT_SQL})")
-def realized_texts(spark, sf_dir):
-    return text_rules.with_issues(realized(spark, sf_dir)).select("record_id", F.size("issues").alias("n_issues"))
-
-
 def flagship(spark, sf_dir) -> DataFrame:
     """Payloads by the modulo join with English texts, composed, rendered, read back and checked."""
     texts = realized(spark, sf_dir).where("language = 'en'")
@@ -342,14 +331,6 @@ def composed_documents(spark, sf_dir):
     return flagship(spark, sf_dir).select("sample_id", "markup", "belief_text", F.size("issues").alias("n_issues"))
 
 
-@query("""SELECT doc_id, concat_ws('|', CASE WHEN length(text) > 220 THEN 'too_long' END, CASE WHEN contains(lower(text), 'from') THEN 'forbidden_term' END,
-  CASE WHEN regexp_matches(text, '(^|[^A-Za-z])(The|It)($|[^A-Za-z])') THEN 'pronoun' END, CASE WHEN NOT (contains(lower(text), 'the') OR contains(lower(text), 'que')) THEN 'missing_cue' END) AS codes FROM documents""")
-def text_rule_codes(spark, sf_dir):
-    t = F.col("text")
-    rules = {"too_long": F.length(t) > text_rules.BELIEF_MOST, "forbidden_term": text.contains_any(t, ["from"]), "pronoun": t.rlike("(^|[^A-Za-z])(The|It)($|[^A-Za-z])"), "missing_cue": ~text.contains_any(t, ["the", "que"])}
-    return table(spark, sf_dir, "documents").select("doc_id", F.concat_ws("|", *[F.when(bad, k) for k, bad in rules.items()]).alias("codes"))
-
-
 @query("""SELECT doc_id, len(list_filter(range(1, len(parts)), lambda i: NOT contains(right(array_to_string(parts[1:i], 'and'), 24), ' not ') AND NOT contains(right(array_to_string(parts[1:i], 'and'), 24), 'never '))) > 0 AS affirmative
 FROM (SELECT doc_id, string_split(lower(replace(text, ' of ', ' not ')), 'and') AS parts FROM documents)""")
 def negation_match(spark, sf_dir):
@@ -357,10 +338,10 @@ def negation_match(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", text.affirmative(own, "and", "en").alias("affirmative"))
 
 
-@query("""SELECT event_id, json_extract_string(props, '$.k') AS k FROM events WHERE event_id % 20 = 0""")
+@query("SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
 def json_extract(spark, sf_dir):
     fenced = F.concat(F.lit("Here it is: "), F.col("props"), F.lit(' and {"k": 0} too'))
-    rows = table(spark, sf_dir, "events").where("event_id % 20 = 0").select("event_id", text.parsed_object(fenced).alias("v"))
+    rows = table(spark, sf_dir, "events").select("event_id", text.parsed_object(fenced).alias("v"))
     return rows.select("event_id", F.try_variant_get("v", "$.k", "string").alias("k"))
 
 
@@ -383,11 +364,11 @@ def item_names(spark, sf_dir):
 # merges, trees, logs, shards
 
 
-@query("""WITH a AS (SELECT 0 AS src_ord, doc_id AS pos, text, lang FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT 1, doc_id, text, lang FROM documents WHERE doc_id % 3 = 0)
+@query("""WITH a AS (SELECT 0 AS src_ord, doc_id AS pos, text, lang FROM documents WHERE n_chars < 3000 UNION ALL SELECT 1, doc_id, text, lang FROM documents)
 SELECT src_ord, count(*) AS records, count(*) FILTER (rn = 1) AS kept FROM (SELECT *, row_number() OVER (PARTITION BY text, lang ORDER BY src_ord, pos) AS rn FROM a) GROUP BY src_ord""")
 def merge_union(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("pos"), "text", "lang")
-    return qa.merge_counts(qa.merged([docs.where("pos % 2 = 0"), docs.where("pos % 3 = 0")], ["text", "lang"]))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("pos"), "text", "lang", "n_chars")
+    return qa.merge_counts(qa.merged([docs.where("n_chars < 3000"), docs], ["text", "lang"]))
 
 
 @query("SELECT doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY text, lang ORDER BY doc_id) = 1")
@@ -402,9 +383,9 @@ def name_conflicts(spark, sf_dir):
 
 
 @query(r"""SELECT node_path, format('{}__q{:04d}', node_path, row_number() OVER (PARTITION BY node_path ORDER BY pos)) AS id, pos FROM (
-  SELECT source AS node_path, min(doc_id) AS pos FROM (SELECT *, regexp_replace(left(text, 6), '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g') AS t FROM documents) WHERE t <> '' GROUP BY source, t)""")
+  SELECT source AS node_path, min(doc_id) AS pos FROM (SELECT *, regexp_replace(text, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g') AS t FROM documents) WHERE t <> '' GROUP BY source, t)""")
 def question_dedupe(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select(F.col("source").alias("node_path"), F.substring("text", 1, 6).alias("text"), F.col("doc_id").alias("pos"))
+    docs = table(spark, sf_dir, "documents").select(F.col("source").alias("node_path"), "text", F.col("doc_id").alias("pos"))
     return qa.kept_questions(docs).select("node_path", "id", "pos")
 
 
@@ -448,11 +429,11 @@ def failure_windows(spark, sf_dir):
     return windowed(table(spark, sf_dir, "events"), "ts", "1 hour", ["event_type"]).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
-@query("""SELECT user_id, event_type, arg_max(event_id, (ts, event_id)) AS event_id, count(*) AS changes FROM events WHERE (user_id % 3 = 0 AND event_type IN ('view', 'click')) OR (user_id % 3 = 1 AND event_type = 'purchase') GROUP BY user_id, event_type""")
+@query("""SELECT user_id, event_type, arg_max(event_id, (ts, event_id)) AS event_id, count(*) AS changes FROM events WHERE (user_id % 3 = 0 AND event_type IN ('view', 'click')) OR (user_id % 3 = 1 AND event_type = 'purchase') OR (user_id % 3 = 2 AND event_type NOT IN ('view', 'purchase')) GROUP BY user_id, event_type""")
 def folded_state(spark, sf_dir):
-    layer = F.when(F.col("user_id") % 3 == 0, "fast").when(F.col("user_id") % 3 == 1, "goal").otherwise("none")
+    layer = F.when(F.col("user_id") % 3 == 0, "fast").when(F.col("user_id") % 3 == 1, "goal").otherwise("slow")
     events = table(spark, sf_dir, "events").withColumns({"layer": layer, "at": F.struct("ts", "event_id")})
-    return reports.folded_state(events, "user_id", "at", "layer", "event_type", "event_id", {"fast": ["view", "click"], "goal": ["purchase"]})
+    return reports.folded_state(events, "user_id", "at", "layer", "event_type", "event_id", {"fast": ["view", "click"], "goal": ["purchase"], "slow": ["click", "error", "signup"]})
 
 
 SHARD = 200_000

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from typing import Protocol
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,6 +99,29 @@ def records_at(shard: DataFrame, requests: DataFrame) -> DataFrame:
     return shard.join(asked.select("req_ord", bounds.alias("pos")), "pos").orderBy("req_ord")
 
 
+def checkpoints(spark: SparkSession, pattern: str) -> tuple[DataFrame, DataFrame]:
+    """(slug, name, phase, complete) of readable checkpoints, one JSON document in each domain's folder, and (file, line) of the
+    others. Folders that begin with a dot are no domains; a domain without name has its folder's."""
+    raw = spark.read.text(pattern, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
+    slug = F.element_at(F.split("file", "/"), -2)
+    doc = F.try_parse_json("value")
+    rows = raw.select("file", "value", percent_decode(slug).alias("slug"), doc.alias("doc")).where(~F.startswith("slug", F.lit(".")))
+    good = F.startswith(F.schema_of_variant("doc"), F.lit("OBJECT"))
+    name = F.coalesce(F.nullif(F.try_variant_get("doc", "$.knowledge_tree.domain", "string"), F.lit("")), "slug")
+    phase = F.try_variant_get("doc", "$.phase", "string")
+    read = rows.where(F.coalesce(good, F.lit(False))).select("slug", name.alias("name"), phase.alias("phase"), F.coalesce(phase == "complete", F.lit(False)).alias("complete"))
+    return read, rows.where(~F.coalesce(good, F.lit(False))).select("file", F.left("value", F.lit(80)).alias("line"))
+
+
+def meta_domains(text: Column) -> Column:
+    """The saved domains (array of name, slug, description) of a document that is a list of them or has one under `domains`."""
+    doc = F.try_parse_json(text)
+    whole = F.when(F.startswith(F.schema_of_variant(doc), F.lit("ARRAY")), doc).otherwise(F.try_variant_get(doc, "$.domains", "variant"))
+    own = F.coalesce(F.try_variant_get(whole, "$", "array<variant>"), F.array().cast("array<variant>"))
+    field = lambda d, n: F.coalesce(F.try_variant_get(d, f"$.{n}", "string"), F.lit(""))
+    return F.transform(own, lambda d: F.struct(*[field(d, n).alias(n) for n in ("name", "slug", "description")]))
+
+
 class PayloadSource(Protocol):
     """Anything that gives payload rows."""
 

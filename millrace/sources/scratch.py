@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new path in the folder of spark.checkpoint.dir; a temporary folder only where that is unset, as in tests."""
+    """A new path in the folder of spark.checkpoint.dir; in local mode, where that is unset, a temporary one."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-"))
         base = spark.sparkContext.getCheckpointDir()
     return f"{base}/rows-{uuid.uuid4().hex}"

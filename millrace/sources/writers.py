@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ledger import missing_rows
-from ..operators.qa import VIEW
+from ..operators.qa import VIEW, merge_counts, merged, name_conflicts
 from .readers import MANIFEST
+from .scratch import stored
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
@@ -95,15 +96,32 @@ def greedy_shards(rows: DataFrame, group: str, order: str, length: str, most: in
     return rows.repartition(group).sortWithinPartitions(group, order).mapInPandas(f, schema)
 
 
-def spread_shards(rows: DataFrame, group: str, order: str, length: str, most: int) -> DataFrame:
-    """rows with shard_index = floor(bytes before / budget) and offset within the shard, by running sums."""
+def spread_shards(rows: DataFrame, group: str, order: str, length: str, most: int, index: DataFrame | None = None) -> DataFrame:
+    """rows with shard_index = floor(bytes before / budget) and offset within the shard, by running sums.
+
+    Ranges of (group, order) spread a large group over partitions; sums run within a range, and what is before it comes from one
+    sum for each range and group by a broadcast. index: (group, shard_index, before, length) of records that are there already,
+    after which the new ones go.
+    """
     from pyspark.sql import Window
 
-    w = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum(length).over(w), F.lit(0)).cast("long")
-    placed = rows.withColumn("_before", before).withColumn("shard_index", F.floor(F.col("_before") / most).cast("int"))
-    first = F.min("_before").over(Window.partitionBy(group, "shard_index"))
-    return placed.withColumn("offset", F.col("_before") - first).drop("_before")
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = stored(rows.repartitionByRange(parts, group, order).withColumn("_part", F.spark_partition_id()))
+    sums = ranged.groupBy("_part", group).agg(F.sum(length).cast("long").alias("_sum"))
+    earlier = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = sums.select("_part", F.col(group).alias("_group"), F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_base"))
+    own = Window.partitionBy("_part", group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranged.join(F.broadcast(before), (ranged["_part"] == before["_part"]) & F.col(group).eqNullSafe(F.col("_group"))).drop(before["_part"]).drop("_group")
+    if index is not None:
+        ends = index.groupBy(F.col(group).alias("_group")).agg(F.max(F.col("before") + F.col("length")).alias("_end"))
+        placed = placed.join(F.broadcast(ends), F.col(group).eqNullSafe(F.col("_group")), "left").withColumn("_base", F.col("_base") + F.coalesce("_end", F.lit(0))).drop("_group", "_end")
+    placed = placed.withColumn("_before", (F.col("_base") + F.coalesce(F.sum(length).over(own), F.lit(0))).cast("long"))
+    placed = stored(placed.withColumn("shard_index", F.floor(F.col("_before") / most).cast("int")).drop("_base", "_part"))
+    starts = placed.select(group, "shard_index", "_before")
+    starts = starts if index is None else starts.unionByName(index.select(group, "shard_index", F.col("before").alias("_before")))
+    first = starts.groupBy(group, "shard_index").agg(F.min("_before").alias("_first")).withColumnRenamed(group, "_group")
+    out = placed.join(first, placed[group].eqNullSafe(first["_group"]) & (placed["shard_index"] == first["shard_index"])).drop(first["shard_index"])
+    return out.withColumn("offset", F.col("_before") - F.col("_first")).withColumnRenamed("_before", "before").drop("_first", "_group")
 
 
 def shard_stats(rows: DataFrame, group: str, length: str) -> DataFrame:
@@ -111,6 +129,55 @@ def shard_stats(rows: DataFrame, group: str, length: str) -> DataFrame:
     return rows.groupBy(group, "shard_index").agg(F.count("*").alias("sample_count"), F.sum(length).cast("long").alias("data_bytes"), (F.count("*") * 8).alias("offsets_bytes"))
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+def append_shards(rows: DataFrame, path: str, most: int, group: str = "bloom_level", order: str = "sample_id") -> DataFrame:
+    """Appends rows (group, order, line) to sharded text and to its offset index, and gives the index: group, order, shard_index,
+    before (the group's bytes before), offset, length. Offsets count a shard's lines in the order of the index, with line ends."""
+    spark = rows.sparkSession
+    index = f"{path}/offsets"
+    old = spark.read.parquet(index) if _exists(spark, index) else None
+    sized = rows.select(group, order, "line", (F.octet_length("line") + 1).cast("long").alias("length"))
+    placed = stored(spread_shards(sized, group, order, "length", most, old))
+    placed.select(group, "shard_index", order, "line").repartition(group, "shard_index").sortWithinPartitions(group, "shard_index", order).drop(order).write.partitionBy(group, "shard_index").mode("append").text(f"{path}/data")
+    placed.select(group, order, "shard_index", "before", "offset", "length").write.mode("append").parquet(index)
+    return spark.read.parquet(index)
+
+
+def write_dataset(rows: DataFrame, path: str, order: list[str]) -> dict:
+    """All domains as one dataset in the order of (domain_slug, order), and its manifest of counts."""
+    rows.repartitionByRange("domain_slug", *order).sortWithinPartitions("domain_slug", *order).write.mode("overwrite").json(f"{path}/dataset")
+    counts = rows.groupBy("domain_slug").agg(F.count("*").alias("records")).orderBy("domain_slug").collect()
+    manifest = {"total_records": sum(r.records for r in counts), "domains": [{"slug": r.domain_slug, "records": r.records} for r in counts]}
+    write_json(rows.sparkSession, f"{path}/manifest.json", manifest)
+    return manifest
+
+
+def write_merged(sources: list[DataFrame], columns: list[str], path: str, run_id: str, language: str, dedupe: bool = True) -> dict:
+    """Several views as one by domain, with a manifest that has each source's rows and those kept."""
+    rows = stored(merged(sources, columns, dedupe))
+    if name_conflicts(rows, "domain_slug", "domain").count():
+        raise ValueError("a domain has several names")
+    manifest = write_view(rows.where("kept").select(*columns), path, run_id, language)
+    counts = {r.src_ord: r for r in merge_counts(rows).collect()}
+    manifest = manifest | {"sources": [{"place": i, "records": counts[i].records if i in counts else 0, "kept": counts[i].kept if i in counts else 0} for i in range(len(sources))]}
+    write_json(sources[0].sparkSession, f"{path}/manifest.json", manifest)
+    return manifest
+
+
+def merged_outputs(base: dict, *more: dict | None) -> dict:
+    """Output maps {section: {name: fields}} merged field by field, later ones first; the given ones stay as they are."""
+    out: dict = {}
+    for outputs in (base, *more):
+        for section, values in (outputs or {}).items():
+            for name, fields in values.items():
+                out.setdefault(section, {}).setdefault(name, {}).update(fields)
+    return out
+
+
 def write_shards(rows: DataFrame, path: str, group: str = "bloom_level") -> None:
     """Rows (group, shard_index, line) as text, one folder for each group and shard."""
     rows.select(group, "shard_index", "line").repartition(group, "shard_index").write.partitionBy(group, "shard_index").mode("overwrite").text(path)

@@ -22,25 +22,30 @@ def windowed(events: DataFrame, ts: str, width: str, keys: list, late: str | Non
     return out.select(F.col("window.start").alias("window_start"), *keys, "n")
 
 
-def retry_states(events: DataFrame, item: str, most: int = 3, timeout: str | None = None) -> DataFrame:
-    """A stream of (item, attempts, action) after each batch of failures of an item; attempts are kept across restarts by the checkpoint."""
-    kind = events.schema[item].dataType.simpleString()
+def retry_states(events: DataFrame, item: str, order: str, most: int = 3, timeout: str | None = None) -> DataFrame:
+    """A stream of (item, order, attempt, action), one row for each failure as in ledger.attempts; an item's count is kept across
+    batches and restarts by the checkpoint. Within a batch an item's failures count by their order."""
+    kind, at = (events.schema[c].dataType.simpleString() for c in (item, order))
+    most = max(1, most)
 
     def step(key, batches: Iterator, state: GroupState):
         import pandas as pd
 
         before = state.get[0] if state.exists else 0
-        n = before + sum(len(b) for b in batches)
-        state.update((n % most,))
-        yield pd.DataFrame({item: [key[0]], "attempts": [(n - 1) % most + 1], "action": ["dead_letter" if n // most > before // most else "retry"]})
+        times = sorted(x for b in batches for x in b[order])
+        state.update(((before + len(times)) % most,))
+        attempt = [(before + i) % most + 1 for i in range(len(times))]
+        yield pd.DataFrame({item: [key[0]] * len(times), order: times, "attempt": attempt, "action": ["dead_letter" if n == most else "retry" for n in attempt]})
 
-    return events.groupBy(item).applyInPandasWithState(step, f"`{item}` {kind}, attempts long, action string", "n long", "update", timeout or GroupStateTimeout.NoTimeout)
+    return events.groupBy(item).applyInPandasWithState(step, f"`{item}` {kind}, `{order}` {at}, attempt long, action string", "n long", "append", timeout or GroupStateTimeout.NoTimeout)
 
 
 def export_finished(stream: DataFrame, path: str, checkpoint: str, domain: str, finished: Column):
-    """Writes the finished rows of each micro-batch by domain, replacing only the domains that it has."""
+    """Writes the finished rows of each micro-batch by domain and batch: earlier batches' rows of a domain stay, and a batch that runs
+    again replaces its own alone."""
 
-    def write(batch: DataFrame, _: int) -> None:
-        batch.where(finished).write.partitionBy(domain).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+    def write(batch: DataFrame, number: int) -> None:
+        own = batch.where(finished).withColumn("_batch", F.lit(number))
+        own.write.partitionBy(domain, "_batch").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
