@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import os
 
 import pytest
 from hypothesis import given, settings
@@ -9,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from millrace.functions import keys, text
-from millrace.operators import compose, ledger, policy, provider, qa, reports, sampling, text_rules
+from millrace.operators import compose, ledger, policy, provider, qa, reports, responses, sampling, text_rules
 from millrace.operators.ordinals import with_ordinals
 from millrace.plans import dims
 from millrace.plans.lifecycle import Run, differences, final_status, resolve_run_id, run_root
@@ -320,12 +321,112 @@ def test_streams(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted((r.item, r.n) for r in spark.table("win").collect()) == [("a", 1), ("a", 2), ("b", 1)]
-    q = failures.retry_states(stream.select("item"), "item").writeStream.format("memory").queryName("retry").outputMode("update").start()
+
+
+@pytest.fixture
+def log(spark, tmp_path):
+    """A failure log of two files, read as one micro-batch each."""
+    folder = tmp_path / "log"
+    folder.mkdir()
+    rows = [[("a", 1), ("a", 2), ("b", 2), ("a", 3), ("a", 4)], [("a", 5), ("b", 6), ("a", 7), ("a", 8)]]
+    for n, own in enumerate(rows):
+        (folder / f"{n}.json").write_text("".join(json.dumps({"item": i, "at": h, "d": "x"}) + "\n" for i, h in own))
+        os.utime(folder / f"{n}.json", (1_700_000_000 + n, 1_700_000_000 + n))
+    return spark.readStream.schema("item string, at long, d string").option("maxFilesPerTrigger", 1).json(str(folder)), spark.createDataFrame([x for own in rows for x in own], "item string, at long")
+
+
+def test_retry_states_agree_with_attempts_over_several_batches(spark, log):
+    stream, rows = log
+    q = failures.retry_states(stream.select("item", "at"), "item", "at").writeStream.format("memory").queryName("retry").outputMode("append").start()
     q.processAllAvailable()
     q.stop()
-    assert sorted(tuple(r) for r in spark.table("retry").collect()) == [("a", 3, "dead_letter"), ("b", 1, "retry")]
-    failures.export_finished(stream, str(tmp_path / "out"), str(tmp_path / "cp"), "d", F.col("item") == "a").awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+    want = ledger.attempts(rows, ["item"], ["at"]).select("item", "at", "attempt", "action").collect()
+    assert sorted(tuple(r) for r in spark.table("retry").collect()) == sorted(tuple(r) for r in want) and sum(r.action == "dead_letter" for r in want) == 2
+
+
+def test_exports_keep_what_earlier_batches_wrote(spark, log, tmp_path):
+    stream, rows = log
+    for _ in range(2):  # the second run finds nothing new
+        failures.export_finished(stream, str(tmp_path / "out"), str(tmp_path / "cp"), "d", F.col("item") == "a").awaitTermination()
+        got = spark.read.parquet(str(tmp_path / "out"))
+        assert sorted(r["at"] for r in got.collect()) == [1, 2, 3, 4, 5, 7, 8] and got.select("_batch").distinct().count() == 2
+
+
+def test_shards_are_appended_with_their_offsets(spark, tmp_path):
+    rows = lambda lo, hi: spark.createDataFrame([(f"s{i:03d}", "x" if i % 3 else "y", "é" * (i % 7)) for i in range(lo, hi)], "sample_id string, bloom_level string, line string")
+    writers.append_shards(rows(0, 40), str(tmp_path / "s"), 60)
+    index = writers.append_shards(rows(40, 60), str(tmp_path / "s"), 60).collect()
+    lines = {r.sample_id: r.line for r in rows(0, 60).collect()}
+    assert len(index) == 60
+    for level in "xy":
+        own = sorted((r for r in index if r.bloom_level == level), key=lambda r: r.before)
+        assert [r.sample_id for r in own] == sorted(r.sample_id for r in own)
+        before = 0
+        for r in own:
+            assert (r.before, r.shard_index, r.length) == (before, before // 60, len(lines[r.sample_id].encode()) + 1)
+            assert r.offset == before - next(x.before for x in own if x.shard_index == r.shard_index)
+            before += r.length
+    data = spark.read.text(str(tmp_path / "s" / "data"))
+    assert sorted((r.bloom_level, r.shard_index, r.value) for r in data.collect()) == sorted((r.bloom_level, r.shard_index, lines[r.sample_id]) for r in index)
+
+
+def test_dataset_merged_views_and_outputs(spark, tmp_path):
+    rows = spark.createDataFrame([("b", "B", 1), ("a", "A", 2), ("b", "B", 3)], "domain_slug string, domain string, pos long")
+    assert writers.write_dataset(rows, str(tmp_path / "d"), ["pos"]) == {"total_records": 3, "domains": [{"slug": "a", "records": 1}, {"slug": "b", "records": 2}]}
+    assert spark.read.json(str(tmp_path / "d" / "dataset")).count() == 3
+    other = spark.createDataFrame([("b", "B", "q1"), ("c", "C", "q2")], "domain_slug string, domain string, question string").withColumn("pos", F.monotonically_increasing_id())
+    manifest = writers.write_merged([other, other.where("domain_slug = 'b'")], ["domain_slug", "domain", "question"], str(tmp_path / "m"), "r", "en")
+    assert manifest["sources"] == [{"place": 0, "records": 2, "kept": 2}, {"place": 1, "records": 1, "kept": 0}] and manifest["total_records"] == 2
+    base = {"views": {"x": {"path": "p"}}}
+    assert writers.merged_outputs(base, {"views": {"x": {"n": 1}}, "system": {"y": {"path": "q"}}}, None) == {"views": {"x": {"path": "p", "n": 1}}, "system": {"y": {"path": "q"}}} and base == {"views": {"x": {"path": "p"}}}
+
+
+def test_checkpoints_and_saved_domains(spark, tmp_path):
+    for slug, doc in (("d1", '{"phase": "complete", "knowledge_tree": {"domain": "One"}}'), ("d2", '{"phase": "questions"}'), ("d3", "{broken"), (".hidden", "{}")):
+        (tmp_path / slug).mkdir()
+        (tmp_path / slug / "checkpoint.json").write_text(doc)
+    good, bad = readers.checkpoints(spark, f"{tmp_path}/*/checkpoint.json")
+    assert sorted(tuple(r) for r in good.collect()) == [("d1", "One", "complete", True), ("d2", "d2", "questions", False)]
+    assert [r.line for r in bad.collect()] == ["{broken"]
+    docs = ['[{"name": "A", "slug": "a"}]', '{"domains": [{"name": "B"}]}', "{}", "no"]
+    rows = spark.createDataFrame([(d,) for d in docs], "t string").select(readers.meta_domains(F.col("t")).alias("d")).collect()
+    assert [[tuple(x) for x in r.d] for r in rows] == [[("A", "a", "")], [("B", "", "")], [], []]
+
+
+def test_chat_client_asks_and_retries(spark):
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    seen = []
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_POST(self):  # noqa: N802
+            body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            seen.append((self.headers["Authorization"], body))
+            text = body["messages"][-1]["content"]
+            status = 400 if text == "bad" else 503 if len([s for s in seen if s[1] == body]) < 3 else 200
+            self.send_response(status)
+            self.end_headers()
+            self.wfile.write(json.dumps({"choices": [{"message": {"content": f'{{"got": "{text}"}}'}}]}).encode())
+
+        def log_message(self, *_):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    spark.conf.set("spark.millrace.chat.url", f"http://127.0.0.1:{server.server_port}/v1/")
+    spark.conf.set("spark.millrace.chat.model", "m")
+    spark.conf.set("spark.millrace.chat.key", "k")
+    client = provider.ChatClient(**provider.settings(spark))
+    rows = spark.createDataFrame([("a",), ("bad",)], "q string").withColumn("messages", responses.messages(F.lit("s"), F.col("q")))
+    got = responses.response_columns(provider.asked(rows, client, pause=(0.01, 0.02))).select("q", F.try_variant_get("object", "$.got", "string").alias("got"), "reason", "error").collect()
+    server.shutdown()
+    one, two = sorted(got, key=lambda r: r.q)
+    assert (one.got, one.reason, one.error) == ("a", None, None) and two.got is None and two.reason == "no_message" and "400" in two.error
+    assert len(seen) == 4 and {s[0] for s in seen} == {"Bearer k"}
+    with pytest.raises(ValueError, match="url"):
+        spark.conf.unset("spark.millrace.chat.url")
+        provider.settings(spark)
 
 
 def test_reports(spark):

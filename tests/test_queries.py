@@ -3,6 +3,7 @@
 import duckdb
 import pytest
 
+from millrace.plans import more_queries  # noqa: F401  registers its queries
 from millrace.plans.queries import ORACLES, QUERIES
 
 SMALL = "/root/testdata/sf0.001"
