@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from .common import U64, each_row, field, mixed, pieces, rows_of, table, trim
 
 SIZE, CHOICE = 400, 128
-#: Bytes of a batch, and windows that are worked on at once.
-BATCH_BYTES, SEGMENT = 2 << 20, 1 << 17
+#: Bytes of a batch, windows that are worked on at once, and batches for each partition of the digests.
+BATCH_BYTES, SEGMENT, BATCHES = 2 << 20, 1 << 17, 16
 _LOW = U64((1 << 18) - 1)
 _BASES = (U64(0xD6E8FEB86659FD93), U64(0xA0761D6478BD642F))
 
@@ -297,12 +297,13 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
 
     A byte goes if a string of size bytes that covers it also starts at any other place of any row. Null and empty texts have no
     bytes; repeated rows repeat each other, as do overlapping strings; a null doc_id is a text like others; an empty table gives
-    no rows; other columns are not read. Digests have 64 bits, and a string needs two equal ones to be taken for a repeat.
+    no rows; other columns are not read; a text of any length is a batch of its own. Digests have 64 bits, and a string needs two equal ones to be taken for a repeat.
     """
     spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     source = rows_of(docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")), "doc_id", "text")
     batches = table(source.mapInArrow(_batches("text", "doc_id"), "batch string, ids array<long>, ends array<long>, data binary"))
+    # a partition's work stays the same as the texts grow
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-batches.count() // BATCHES))
     answer = "kind int, p long, batch string, codes binary"
     asked = batches.select("batch", "ends", "data").mapInArrow(_first(parts, size, choice), ASKED_DDL)
     answers = table(asked.groupBy("kind", "p").applyInArrow(_answered, answer))
