@@ -326,7 +326,27 @@ def compose_messages(spark, sf_dir):
     )
 
 
-@query()
+def _escaped(text: str) -> str:
+    for raw, out in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+        text = f"replace({text}, '{raw}', '{out}')"
+    return f"replace({text}, chr(13), '&#13;')"
+
+
+_CUE = "CASE decision " + " ".join(f"WHEN '{d}' THEN '{must['en'][0].replace(chr(39), chr(39) * 2)}'" for d, (must, _) in dims.CUES.items()) + " END"
+_PRELUDE = f"CASE {_pool('sample_id', 'belief_runtime_affordance:en', list(dims.PRELUDES['en']))} " + " ".join(f"WHEN '{v}' THEN '{t.replace(chr(39), chr(39) * 2)}'" for v, t in dims.PRELUDES["en"].items()) + " END"
+_INTENT = "CASE decision " + " ".join(f"WHEN '{d}' THEN '{i}'" for d, i in dims.DECISIONS.items()) + " END"
+DOCUMENT_SQL = f"""WITH c AS (SELECT *, {_base64("concat_ws(chr(31), sample_id, person, 'rendered_entity_id')")} AS rid, {_pool('sample_id', 'reply_tool_name', dims.REPLY_TOOLS)} AS tool, name || '[' || relation_kind || ']' AS mention, {_PRELUDE} AS prelude, {_INTENT} AS intent,
+    'About ' || name || ': ' || {_CUE} || '.' AS thinking, CASE WHEN decision = 'engage_now' THEN regexp_replace(fulfillment_content, '^[\\s\\p{{Z}}]+|[\\s\\p{{Z}}]+$', '', 'g') ELSE '' END AS reply FROM {PAIR_SQL}),
+  t AS (SELECT *, prelude || chr(10) || 'void ' || tool || '(string target_entity_id, string message);' || chr(10) || chr(10) || 'I know ' || name || ' and my day is rather full.' AS belief_text,
+    'known_people_json:' || chr(10) || '[{{"entity_id":"' || rid || '","entity_type":"person","relation":"' || relation_kind || '","name":"' || name || '","mention":"' || mention || '"}}]' || chr(10) || chr(10) AS registry FROM c)
+SELECT sample_id, belief_text, 0 AS n_issues, '<document version="0" task="help_gate_acml_v1" composition_version="1.8" language="en" sample_id="' || sample_id || '"><entry kind="observation" source="qa" relation="' || relation_kind || '" entity_id="' || rid
+  || '" entity_name="' || name || '" entity_mention="' || mention || '">' || mention || CASE WHEN relation_kind IN ('stranger', 'partner') THEN ' asks me: ' ELSE ' says to me: ' END || '<payload>' || {_escaped('request_text')} || '</payload></entry>'
+  || '<entry kind="belief" source="policy_text+runtime">' || {_escaped('registry || belief_text')} || '</entry><entry kind="me" source="policy_text+qa" will_help_now="' || (decision = 'engage_now')::VARCHAR || '" response_intent="' || intent || '" policy_decision="' || decision || '">'
+  || {_escaped('thinking')} || CASE WHEN reply = '' THEN '' ELSE chr(10) || '<action tool="' || tool || '" dialect="csharp-v0" target_entity_id="' || rid || '">' || {_escaped("tool || '(target_entity_id: ' || chr(34) || rid || chr(34) || ', message: '")}
+  || '<payload>' || {_escaped('reply')} || '</payload>)</action>' END || '</entry></document>' AS markup FROM t"""
+
+
+@query(DOCUMENT_SQL)
 def composed_documents(spark, sf_dir):
     return flagship(spark, sf_dir).select("sample_id", "markup", "belief_text", F.size("issues").alias("n_issues"))
 
