@@ -155,9 +155,10 @@ def near_vectors(vectors: DataFrame, *, vec_id: str = "vec_id", embedding: str =
     some = keyed.where("key is not null and vec_id is not null")
     classes = some.groupBy("label", "key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("v").alias("v"))
     classes = table(classes.withColumn("size", F.size("v")))
-    blocks = classes.groupBy("label", "size").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    blocks = classes.groupBy("label", "size").agg(F.count("*").alias("n"), F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     mine = F.pmod(F.xxhash64("key", F.lit(3)), F.col("blocks")).cast("int")
-    spread = classes.join(blocks, ["label", "size"]).select("label", "size", "key", "rep", "copies", "v", mine.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    # rows of one label come from all over, so its pairs of blocks are dealt to many tasks
+    spread = looked_up(classes, blocks, ["label", "size"], "n", hot_limit(vectors.sparkSession, classes.count())).select("label", "size", "key", "rep", "copies", "v", mine.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     spread = spread.select("label", "size", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), F.when(F.col("mine") <= F.col("other"), 0).otherwise(1).alias("side"), "key", "rep", "copies", "v")
     found = table(spread.groupBy("label", "size", "lo", "hi").applyInArrow(_compared(cosine), "label string, key binary, rep long, links long, to long"))
     links = found.groupBy("label", "key").agg(F.sum("links").alias("links"))
