@@ -28,7 +28,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (five words, a similarity of 0.8 or more) the document of the smallest id stays. Documents without words or id are in no group."""
+    """Of each group of near-duplicates (five words, a similarity of 0.8 or more) the document of the smallest id stays. Documents without words or id are in no group; all rows of a repeated id stay or go together."""
     gone = minhash.near_duplicates(docs).where("not kept").select("doc_id").distinct()
     return docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
 
