@@ -39,7 +39,7 @@ def _in(column: str, values) -> str:
 
 ENGAGED = "decision IN ('engage_now', 'engage_briefly')"
 KIN = _in("label", ("家人", "长辈"))
-#: Columns by level, from (decision, label, direction, typical).
+# Values, probabilities, labels and tags of the rules. Columns by level, from (decision, label, direction, typical).
 LEVELS: list[dict[str, str]] = [
     {
         "relation_closeness": f"CASE WHEN {{u:closeness_typical}} < 0.5 THEN typical ELSE {_pick('closeness', LOW_HIGH)} END",

@@ -49,9 +49,9 @@ ASKING = ("stranger", "partner")
 OBSERVED = {"zh": {True: "问我：", False: "对我说："}, "en": {True: " asks me: ", False: " says to me: "}}
 
 # Parts of the names of counterparties.
-SURNAMES = "周 林 陈 许 沈 顾 唐 陆 宋 韩 叶 赵 钱 孙 李 吴 郑 王 冯 蒋 程 薛 魏 何 马 罗 高 梁 董 于 余 杜".split()
-GIVEN_PREFIXES = "安 知 清 景 初 闻 序 怀 向 若 以 可 言 亦 书 映 思 临 照 承".split()
-GIVEN_SUFFIXES = "宁 和 远 白 舟 川 南 北 遥 衡 微 乔 念 允 朗 平".split()
+SURNAMES = ["周", "林", "陈", "许", "沈", "顾", "唐", "陆", "宋", "韩", "叶", "赵", "钱", "孙", "李", "吴", "郑", "王", "冯", "蒋", "程", "薛", "魏", "何", "马", "罗", "高", "梁", "董", "于", "余", "杜"]
+GIVEN_PREFIXES = ["安", "知", "清", "景", "初", "闻", "序", "怀", "向", "若", "以", "可", "言", "亦", "书", "映", "思", "临", "照", "承"]
+GIVEN_SUFFIXES = ["宁", "和", "远", "白", "舟", "川", "南", "北", "遥", "衡", "微", "乔", "念", "允", "朗", "平"]
 
 # Names of the reply tool, and sentences that introduce it.
 REPLY_TOOLS = ("SendMessage", "SendMsg", "send_message", "Speek", "speek")
