@@ -77,6 +77,26 @@ class Index:
     prior: float
     ratio: float
     line: tuple[float, float] = (0.0, 1.0)
+    entries: tuple = ()
+
+    @classmethod
+    def of(cls, terms, weight, labels, ids, doc, term, times, prior: float, ratio: float, line=(0.0, 1.0)) -> Index:
+        """The index of entries (doc, term, times) of the examples in their order, sorted by (block, term, doc)."""
+        own, n = times * weight[term], len(labels)
+        own = own / np.sqrt(np.bincount(doc, own * own, n))[doc]
+        cuts = np.searchsorted(doc // BLOCK, np.arange(-(-n // BLOCK) + 1))
+        blocks = [_block(term[x:y], doc[x:y] - i * BLOCK, own[x:y], min(BLOCK, n - i * BLOCK)) for i, (x, y) in enumerate(zip(cuts[:-1], cuts[1:]))]
+        return cls(terms, weight, labels, ids, blocks, prior, ratio, line, (doc, term, times, own))
+
+    def stored(self) -> tuple:
+        """What the index is made of again in a worker: far less than its postings."""
+        doc, term, times, _ = self.entries
+        return packed(self.terms, self.weight, self.labels, self.ids, doc.astype(np.int32), term.astype(np.int32), times.astype(np.int32)), self.prior, self.ratio, self.line
+
+    @classmethod
+    def loaded(cls, blob: bytes, prior: float, ratio: float, line: tuple) -> Index:
+        terms, weight, labels, ids, doc, term, times = unpacked(blob, np.uint64, float, np.int64, np.int64, np.int32, np.int32, np.int32)
+        return cls.of(terms, weight, labels, ids, doc.astype(np.int64), term.astype(np.int64), times.astype(np.int64), prior, ratio, line)
 
     def nearest(self, doc: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, k: int, leave: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """For each of n unit vectors, given by entries in the order of doc, the k examples of largest cosine, ties by their order:
@@ -186,19 +206,33 @@ def build_index(bags: Bags, seen: np.ndarray, total: int, share: float) -> Index
     rank[by] = np.arange(n)
     doc = rank[bags.doc]
     order = np.lexsort((doc, bags.term, doc // BLOCK))
-    doc, term, own = doc[order], bags.term[order], own[order]
-    cuts = np.searchsorted(doc // BLOCK, np.arange(-(-n // BLOCK) + 1))
-    blocks = [_block(term[x:y], doc[x:y] - i * BLOCK, own[x:y], min(BLOCK, n - i * BLOCK)) for i, (x, y) in enumerate(zip(cuts[:-1], cuts[1:]))]
-    index = Index(bags.terms, weight, label[by], bags.ids[by], blocks, share, share / (1 - share) * n0 / n1 if share < 1 else 1.0)
-    # calibration: each example's vote by the others, and a logistic line through them with the labels' shares as weights
-    votes, order = np.empty(n), np.argsort(doc, kind="stable")
-    doc, term, own = doc[order], term[order], own[order]
-    for lo in range(0, n, QUERIES):
-        hi = min(lo + QUERIES, n)
-        x, y = np.searchsorted(doc, [lo, hi])
-        votes[lo:hi] = [index.vote(*v) for v in zip(*index.nearest(doc[x:y] - lo, term[x:y], own[x:y], hi - lo, NEIGHBOURS, np.arange(lo, hi)))]
+    return Index.of(bags.terms, weight, label[by], bags.ids[by], doc[order], bags.term[order], bags.times[order], share, share / (1 - share) * n0 / n1 if share < 1 else 1.0)
+
+
+def _left_out(shared):
+    """(first, last) of examples to their votes by all the others."""
+
+    def f(batches):
+        index = Index.loaded(*shared.value)
+        doc, term, _, own = index.entries
+        order = np.argsort(doc, kind="stable")
+        doc, term, own = doc[order], term[order], own[order]
+        for batch in batches:
+            for lo, hi in zip(*(c.to_pylist() for c in batch.columns)):
+                x, y = np.searchsorted(doc, [lo, hi])
+                votes = [index.vote(*v) for v in zip(*index.nearest(doc[x:y] - lo, term[x:y], own[x:y], hi - lo, NEIGHBOURS, np.arange(lo, hi)))]
+                yield pa.record_batch([pa.array([lo]), pa.array([votes], pa.list_(pa.float64()))], ["first", "votes"])
+
+    return f
+
+
+def _calibrate(spark, index: Index) -> None:
+    """A logistic line through the examples' left-out votes with the labels' shares as weights."""
+    n = len(index.labels)
+    spans = spark.createDataFrame([(lo, min(lo + QUERIES, n)) for lo in range(0, n, QUERIES)], "first long, last long").repartition(-(-n // QUERIES))
+    found = spans.mapInArrow(_left_out(spark.sparkContext.broadcast(index.stored())), "first long, votes array<double>").collect()
+    votes = np.concatenate([r.votes for r in sorted(found)])
     index.line = _line(votes, index.labels, np.where(index.labels == 1, index.ratio, 1.0))
-    return index
 
 
 def _line(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float]:
@@ -242,7 +276,7 @@ def _summed(rows: pa.Table) -> pa.Table:
 
 def _scored(shared, names: list[str], text: str, share: float, evidence: int):
     def f(batches):
-        index = shared.value
+        index = Index.loaded(*shared.value) if shared.value else None
         for whole in batches:
             for lo, hi in pieces(whole, field(whole, text)):
                 batch = whole.slice(lo, hi - lo)
@@ -302,9 +336,10 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, corpus: DataFrame | None
         counts = counts.select(F.pmod(F.spark_partition_id(), F.lit(8)).alias("share"), "seen").groupBy("share").applyInArrow(_summed, "seen binary").toArrow()
         seen, total = (sum(x) for x in zip(*(unpacked(b, np.int64, np.int64) for b in counts.column("seen").to_pylist())))
         index = build_index(bags, seen, int(total[0]), share)
+        _calibrate(spark, index)
     rows = rows_of(docs, *carry, text)
     names = list(carry)
-    return rows.mapInArrow(_scored(spark.sparkContext.broadcast(index), names, text, share, evidence), carried(rows, names, "score double, evidence array<struct<doc_id: long, cosine: double, toxic: int>>"))
+    return rows.mapInArrow(_scored(spark.sparkContext.broadcast(index.stored() if index else None), names, text, share, evidence), carried(rows, names, "score double, evidence array<struct<doc_id: long, cosine: double, toxic: int>>"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
