@@ -47,6 +47,7 @@ def drop(spark: SparkSession, *tables: DataFrame, part: str = "") -> None:
         path = spark._jvm.org.apache.hadoop.fs.Path(df.scratch_path + part)
         path.getFileSystem(conf).delete(path, True)
     gc.collect()
+    trim()
     spark._jvm.System.gc()
 
 

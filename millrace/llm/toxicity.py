@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import carried, carry_fields, field, hash_words, packed, pieces, rows_of, split_words, trim, unpacked
+from .common import carried, carry_fields, drop, field, hash_words, packed, pieces, rows_of, split_words, trim, unpacked
 
 #: Labelled rows of each label in the index at most, and bytes of each label's texts at most.
 SAMPLE, SAMPLE_BYTES = 2048, 32 << 20
@@ -330,16 +330,19 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, corpus: DataFrame | None
             chosen.append((r.doc_id, r.toxic, r.size))
     examples = source.where("text is not null").join(F.broadcast(spark.createDataFrame(chosen, "doc_id long, toxic int, size int")), "doc_id").where(F.octet_length("text") == F.col("size"))
     bags = Bags(examples.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.min("text").alias("text")).orderBy("doc_id").toArrow())
-    index = None
+    index = stored = None
     if len(bags.terms) and len(set(bags.label.tolist())) == 2:
         counts = rows_of(source, "text").mapInArrow(_frequencies(spark.sparkContext.broadcast(bags.terms), "text"), "seen binary")
         counts = counts.select(F.pmod(F.spark_partition_id(), F.lit(8)).alias("share"), "seen").groupBy("share").applyInArrow(_summed, "seen binary").toArrow()
         seen, total = (sum(x) for x in zip(*(unpacked(b, np.int64, np.int64) for b in counts.column("seen").to_pylist())))
         index = build_index(bags, seen, int(total[0]), share)
         _calibrate(spark, index)
+        stored = index.stored()
+    del bags, index
+    drop(spark)
     rows = rows_of(docs, *carry, text)
     names = list(carry)
-    return rows.mapInArrow(_scored(spark.sparkContext.broadcast(index.stored() if index else None), names, text, share, evidence), carried(rows, names, "score double, evidence array<struct<doc_id: long, cosine: double, toxic: int>>"))
+    return rows.mapInArrow(_scored(spark.sparkContext.broadcast(stored), names, text, share, evidence), carried(rows, names, "score double, evidence array<struct<doc_id: long, cosine: double, toxic: int>>"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
