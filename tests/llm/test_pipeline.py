@@ -44,3 +44,14 @@ def test_stages_take_nulls_empty_texts_extra_columns_and_no_rows(spark):
             own = stage(spark, own, SMALL)
             assert own.columns == docs.columns and own.count() == n
         assert corpus_pipeline.STAGES[-1][1](spark, own, SMALL).select("doc_id").distinct().count() == n
+
+
+def test_each_stage_begins_with_executors_that_gave_back_memory(spark):
+    beans = list(spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans())
+    full = lambda: sum(b.getCollectionCount() for b in beans if "Old" in b.getName() or "MarkSweep" in b.getName())
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        if name in ("decontamination", "packing"):  # these ask for no collection of their own
+            before = full()
+            stage(spark, docs, SMALL)
+            assert full() > before
