@@ -24,6 +24,8 @@ SAMPLE, SAMPLE_BYTES = 2048, 32 << 20
 SURE, NEITHER = 10.83, 0.02
 #: Neighbours that vote; examples of a block of the index; texts that are searched for at once.
 NEIGHBOURS, BLOCK, QUERIES = 15, 256, 256
+#: The turns, from the block with the largest bound on, from which several turns are taken together.
+TURNS = (0, 1, 4)
 #: Terms in so large a share of a block's examples have a dense row there.
 DENSE = 0.05
 
@@ -104,40 +106,53 @@ class Index:
         best, place = np.full((n, k), -2.0), np.full((n, k), -1)
         found = []
         bound = np.zeros((n, len(self.blocks)))
+        own, of = np.unique(term, return_inverse=True)
         for b, block in enumerate(self.blocks):
-            at = np.minimum(np.searchsorted(block.terms, term), len(block.terms) - 1)
-            there = block.terms[at] == term
+            at = np.minimum(np.searchsorted(block.terms, own), len(block.terms) - 1)
+            at = np.where(block.terms[at] == own, at, -1)[of]
+            there = at >= 0
             found.append((doc[there], at[there], weight[there]))
-            bound[:, b] = np.bincount(doc[there], weight[there] * block.most[at[there]], n)
+            bound[:, b] = np.bincount(found[b][0], found[b][2] * block.most[found[b][1]], n)
         order = np.argsort(-bound, 1, kind="stable")
-        for turn in range(len(self.blocks)):
-            wanted = bound[np.arange(n), order[:, turn]] >= best[:, k - 1] - 1e-9
-            for b in np.unique(order[wanted, turn]).tolist():
-                rows = np.flatnonzero(wanted & (order[:, turn] == b))
+        turn = np.empty_like(order)
+        np.put_along_axis(turn, order, np.arange(len(self.blocks))[None, :], 1)
+        # the blocks of a few turns together, so that one is opened for many texts at once
+        for first, last in zip(TURNS, (*TURNS[1:], len(self.blocks))):
+            for b, block in enumerate(self.blocks):
+                rows = np.flatnonzero((turn[:, b] >= first) & (turn[:, b] < last) & (bound[:, b] >= best[:, k - 1] - 1e-9))
+                if not len(rows):
+                    continue
                 cosine = np.round(self._cosines(b, rows, n, *found[b]), 12)
                 at = b * BLOCK + np.arange(cosine.shape[1])
                 if leave is not None:
                     cosine[leave[rows][:, None] == at[None, :]] = -2.0
                 every, where = np.concatenate([best[rows], cosine], 1), np.concatenate([place[rows], np.broadcast_to(at, cosine.shape)], 1)
-                keep = np.lexsort((where, -every), axis=1)[:, :k]
-                best[rows], place[rows] = np.take_along_axis(every, keep, 1), np.take_along_axis(where, keep, 1)
+                # k of each row and those as good as the last one, of which the first ones stay
+                row, column = np.nonzero(every >= np.partition(every, -k, 1)[:, -k][:, None])
+                every, where = every[row, column], where[row, column]
+                keep = np.lexsort((where, -every, row))
+                size = np.bincount(row, minlength=len(rows))
+                keep = keep[((np.cumsum(size) - size)[:, None] + np.arange(k)).ravel()].reshape(len(rows), k)
+                best[rows], place[rows] = every[keep], where[keep]
         place[best <= 0] = -1  # nothing in common
         return best, place
 
     def _cosines(self, b: int, rows: np.ndarray, n: int, doc: np.ndarray, at: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """Of the chosen rows, each one's cosines with a block's examples."""
         block, width = self.blocks[b], min(BLOCK, len(self.labels) - b * BLOCK)
-        number = np.full(n, -1)
-        number[rows] = np.arange(len(rows))
-        own = number[doc]
-        doc, at, weight = own[own >= 0], at[own >= 0], weight[own >= 0]
+        if len(rows) < n:
+            number = np.full(n, -1)
+            number[rows] = np.arange(len(rows))
+            own = number[doc]
+            doc, at, weight = own[own >= 0], at[own >= 0], weight[own >= 0]
         dense = block.dense[at]
+        many = dense >= 0
         query = np.zeros((len(rows), len(block.rows)))
-        query[doc[dense >= 0], dense[dense >= 0]] = weight[dense >= 0]
-        doc, at, weight = doc[dense < 0], at[dense < 0], weight[dense < 0]
+        query[doc[many], dense[many]] = weight[many]
+        doc, at, weight = doc[~many], at[~many], weight[~many]
         size = block.starts[at + 1] - block.starts[at]
         post = np.repeat(block.starts[at] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-        rest = np.bincount(np.repeat(doc, size) * width + block.example[post], np.repeat(weight, size) * block.weight[post], len(rows) * width)
+        rest = np.bincount(np.repeat(doc * width, size) + block.example[post], np.repeat(weight, size) * block.weight[post], len(rows) * width)
         return query @ block.rows + rest.reshape(len(rows), width)
 
     def vectors(self, full: np.ndarray, doc: np.ndarray, codes: np.ndarray, times: np.ndarray, n: int):

@@ -266,6 +266,19 @@ def test_block_max_search_equals_all_cosines(monkeypatch):
         assert i not in left[i].tolist() and np.allclose(every[left[i]], np.delete(every[want], want.tolist().index(i))[:9])
 
 
+def test_blocks_are_opened_for_many_texts_at_once(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(toxicity, "BLOCK", 32)
+    rows = labelled(700)
+    bags = toxicity.Bags(pa.table({"doc_id": [i for i, _, _ in rows], "toxic": [x for *_, x in rows], "text": [t for _, t, _ in rows]}))
+    index = toxicity.build_index(bags, np.bincount(bags.term, minlength=len(bags.terms)), len(rows), 0.25)
+    opened, plain = [], index._cosines
+    monkeypatch.setattr(index, "_cosines", lambda b, *rest: opened.append(b) or plain(b, *rest))
+    index.nearest(*index.vectors(*toxicity._bags(pa.array([t for _, t, _ in rows])), len(rows)), len(rows), 9)
+    assert set(opened) == set(range(22)) and len(opened) <= 3 * 22
+
+
 def test_toxicity_query_equals_dictionaries(spark):
     got = {r.doc_id: r for r in toxicity.query(spark, SMALL).collect()}
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
