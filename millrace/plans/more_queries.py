@@ -288,7 +288,7 @@ RUNS_SQL = "list_distinct(CASE WHEN len({w}) >= 3 THEN list_transform(range(1, l
 ]+'), lambda w: w <> '') AS b FROM conversations)))""")
 def answer_leaks(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations").withColumn("next", F.lead("text").over(Window.partitionBy("conv_id").orderBy("turn")))
-    return derived.answer_leaks(rows, "text", "next").select("conv_id", "turn", F.round("overlap", 9).alias("overlap"), "leaks")
+    return derived.answer_leaks(rows, "text", "next").select("conv_id", "turn", (F.round(F.col("overlap") * 1e9) / 1e9).alias("overlap"), "leaks")
 
 
 @query(f"SELECT payload_id FROM ({QA_SQL}) WHERE domain_slug IN ('d1', 'd4') AND bloom_level IN ('apply', 'analyze') AND length(fulfillment_content) > 100")
